@@ -103,7 +103,9 @@ def _one(view: str, query: str, case_sensitive: bool = True) -> Query:
 
 QUERIES["wildcard_star"] = _one("log_events", "user=1*click*code*{*}")
 QUERIES["wildcard_qmark"] = _one("log_events", "*took ??.? ms, code? ?*")
-QUERIES["wildcard_escape"] = _one("log_docs", r"*\?*")
+QUERIES["wildcard_escape"] = lambda spark, sf: search.search(
+    views.log_events(spark, sf), [r"*\**", r"*\?*", r'*\{"\k": ?\}']
+)
 QUERIES["wildcard_anchored"] = _one("log_events", "user=1? action=view*")
 QUERIES["wildcard_nocase"] = _one("log_docs", "*THE*of*", False)
 QUERIES["wildcard_cleanup"] = _one("log_events", "**err**or*\\")
