@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from logloom import schema as S
-from logloom.operators.search import Queries, search
+from logloom.operators.search import Queries, search, where
 from logloom.plans.joins import attach
 from logloom.plans.ordered import first_per_stream
 
@@ -63,6 +63,16 @@ def next_match(
     return earliest(search(rows, queries, lower, upper, stop_at_upper))
 
 
+def next_where(events: DataFrame, predicate, cursors: DataFrame | None = None) -> DataFrame:
+    """The next event of each stream behind its cursor for which ``predicate`` holds.
+
+    ``predicate`` is a Column such as ``F.contains("message", F.lit("ERROR"))`` or a
+    Python function as in :func:`logloom.operators.search.where`.
+    """
+    rows = events if cursors is None else after_cursor(events, cursors)
+    return earliest(where(rows, predicate))
+
+
 def first_k_matches(
     events: DataFrame,
     queries: Queries,

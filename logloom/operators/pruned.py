@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from logloom import schema as S
 from logloom.functions.templates import may_match
-from logloom.operators.encoding import decode_log
+from logloom.operators.encoding import decode_log, with_logtypes
 from logloom.operators.search import Queries, before_cutoff, in_interval, search, upper_cutoffs
 from logloom.plans.joins import attach_materialized
 from logloom.session import materialize
@@ -16,6 +16,9 @@ from logloom.sources.log_tables import read_encoded, read_logtypes, read_streams
 # Up to this many candidate ids go into the scan as a literal list.
 PUSHED_IDS = 1000
 
+# With fewer rows per log type than this, testing log types costs more than it saves.
+MIN_ROWS_PER_LOGTYPE = 4
+
 
 def search_encoded(
     encoded: DataFrame,
@@ -33,10 +36,14 @@ def search_encoded(
     the exact predicate runs on what is left.
     """
     queries = list(queries)
+    rows = encoded.filter(in_interval(lower, upper))
+    if dictionary.count() * MIN_ROWS_PER_LOGTYPE > encoded.count():
+        # Nearly every row has its own log type (prose): nothing to gain from pruning.
+        hits = search(decode_log(with_logtypes(rows, dictionary)).select(*S.EVENT_COLS), queries, lower, upper)
+        return before_cutoff(hits, upper_cutoffs(encoded, upper)) if stop_at_upper else hits
     candidates = materialize(
         dictionary.select("logtype_id", "logtype").filter(may_match(queries, "logtype"))
     )
-    rows = encoded.filter(in_interval(lower, upper))
     ids = [r[0] for r in candidates.select("logtype_id").limit(PUSHED_IDS + 1).collect()]
     if len(ids) <= PUSHED_IDS:
         rows = rows.filter(F.col("logtype_id").isin(ids))

@@ -194,6 +194,7 @@ FROM log_events, (VALUES ('4/zstd'), ('8/none')) v(variant)""",
     ),
     "write_read_roundtrip_docs": _with("log_docs", rest=_DECODED + "log_docs"),
     "append_chunks": _with("log_events", rest="SELECT * FROM log_events"),
+    "scan_text": _with("log_events", rest="SELECT ts_ms, message FROM log_events"),
     "wildcard_star": _search("log_events", _case(_like("user=1%click%code%{%}"))),
     "wildcard_qmark": _search("log_events", _case(_like("%took __._ ms, code_ _%"))),
     "wildcard_escape": _search(
@@ -255,6 +256,15 @@ FROM log_events e LEFT JOIN (
 ) c USING (stream_id)
 WHERE (after_seq IS NULL OR seq > after_seq) AND ts_ms >= 0
   AND (message LIKE '%purchase%' OR message LIKE '%signup%')
+QUALIFY row_number() OVER (PARTITION BY stream_id ORDER BY seq) = 1""",
+    ),
+    "next_where_after": _with(
+        "log_events",
+        rest="""SELECT e.stream_id, e.seq, e.ts_ms, e.message
+FROM log_events e LEFT JOIN (
+  SELECT stream_id, min(seq) AS after_seq FROM log_events WHERE contains(message, 'error') GROUP BY stream_id
+) c USING (stream_id)
+WHERE (after_seq IS NULL OR seq > after_seq) AND ends_with(message, '1}')
 QUALIFY row_number() OVER (PARTITION BY stream_id ORDER BY seq) = 1""",
     ),
     "first_k_matches": f"""SELECT * FROM (

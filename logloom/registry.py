@@ -12,7 +12,7 @@ from logloom.functions.glob import WildcardQuery
 from logloom.functions.localtime import parse_local, render_local, usable_zone
 from logloom.operators import cursor, encoding, pruned, quality, search, timestamps
 from logloom.session import scratch_path
-from logloom.sources import log_tables, metadata, views
+from logloom.sources import log_tables, metadata, text, views
 from logloom.streaming import jobs
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -91,6 +91,23 @@ def append_chunks(spark, sf):
     return log_tables.read_log(spark, path).drop("status")
 
 
+@registered
+def scan_text(spark, sf):
+    """Events as text lines "<local time> <message>" in compressed files, read and parsed again."""
+    path = scratch_path(spark, "text")
+    events = views.log_events(spark, sf)
+    zone = F.lit("America/Toronto")
+    line = F.concat_ws(" ", render_local(F.col("ts_ms"), zone, PATTERN), F.col("message"))
+    events.repartitionByRange("seq").sortWithinPartitions("seq").select(line.alias("value")).write.option(
+        "compression", "gzip"
+    ).text(path)
+    lines = text.read_text_log(spark, path)
+    head = F.substring("message", 1, 23)
+    return lines.select(
+        parse_local(head, zone, PATTERN).alias("ts_ms"), F.expr("substring(message, 25)").alias("message")
+    )
+
+
 # --- filters -----------------------------------------------------------------------
 
 
@@ -212,6 +229,13 @@ def next_match_after(spark, sf):
     return cursor.next_match(events, ["*purchase*", "*signup*"], first_errors)
 
 
+@registered
+def next_where_after(spark, sf):
+    events = views.log_events(spark, sf)
+    first_errors = search.contains(events, "error").groupBy("stream_id").agg(F.min("seq").alias("after_seq"))
+    return cursor.next_where(events, F.endswith("message", F.lit("1}")), first_errors)
+
+
 @registered
 def first_k_matches(spark, sf):
     return cursor.first_k_matches(views.log_events(spark, sf), ERROR_THEN_PURCHASE, 3)
@@ -328,12 +352,12 @@ def local_time_parse(spark, sf):
     streams = metadata.parse_metadata(views.streams_raw(spark, sf))
     rows = metadata.with_stream_info(views.log_events(spark, sf), streams)
     zone, pattern = F.col("tz_id"), F.col("ts_pattern")
-    text = render_local(F.col("ts_ms"), zone, pattern, [PATTERN])
+    local = render_local(F.col("ts_ms"), zone, pattern, [PATTERN])
     return rows.select(
         *S.EVENT_KEY,
         usable_zone(zone).alias("zone"),
-        text.alias("local_time"),
-        parse_local(text, zone, pattern, [PATTERN]).alias("parsed_ms"),
+        local.alias("local_time"),
+        parse_local(local, zone, pattern, [PATTERN]).alias("parsed_ms"),
     )
 
 

@@ -13,21 +13,28 @@ nothing. One writer at a time appends to a log.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from logloom import schema as S
 from logloom.operators.encoding import decode_log, encode_log, with_logtype_ids, with_logtypes
-from logloom.operators.timestamps import delta_encode, reference_timestamps
+from logloom.operators.timestamps import delta_encode
 from logloom.plans.dense import with_dense_id
 from logloom.plans.joins import attach
 from logloom.plans.ordered import running_sum
 
+# Message bytes per write task; small tables use all cores but no tiny tasks.
+TASK_BYTES = 512 * 1024 * 1024
+_SMALL_TASK_BYTES = 4 * 1024 * 1024
+_ROW_BYTES = 32
+
 LOGTYPE_SCHEMA = "logtype_id bigint, logtype string, chunk bigint"
 STREAM_SCHEMA = (
     "stream_id bigint, ts_pattern string, ts_pattern_syntax string, tz_id string, "
-    "reference_ts bigint, width int, closed boolean, chunk bigint"
+    "reference_ts bigint, width int, closed boolean, n_events bigint, chunk bigint"
 )
 EVENT_SCHEMA = T.StructType(
     [
@@ -80,12 +87,13 @@ def write_log(
     _write_new_logtypes(spark, encoded, path, chunk, compression)
     dictionary = read_logtypes(spark, path).filter(F.col("chunk") <= chunk).drop("chunk")
 
-    first_times = references if references is not None else reference_timestamps(events)
-    headers = (
-        events.select("stream_id").distinct().join(first_times, "stream_id", "left")
-        if references is not None
-        else first_times
+    headers = events.groupBy("stream_id").agg(
+        F.min_by("ts_ms", "seq").alias("first_ts"), F.count(F.lit(1)).alias("n_events")
     )
+    if references is not None:
+        headers = headers.join(references.select("stream_id", "reference_ts"), "stream_id", "left")
+    else:
+        headers = headers.withColumn("reference_ts", F.col("first_ts"))
     headers.select(
         "stream_id",
         F.lit(ts_pattern).alias("ts_pattern"),
@@ -94,6 +102,7 @@ def write_log(
         F.coalesce("reference_ts", F.lit(0)).cast("bigint").alias("reference_ts"),
         F.lit(width).cast("int").alias("width"),
         F.lit(closed).alias("closed"),
+        "n_events",
     ).write.mode("overwrite").option("compression", compression).parquet(f"{path}/streams/chunk={chunk}")
 
     dated = encoded.withColumn("event_date", F.to_date(F.timestamp_millis("ts_ms")))
@@ -106,7 +115,7 @@ def write_log(
     layout = ["event_date", "logtype_id", "stream_id", "seq"]
     (
         rows.select("stream_id", "seq", "ts_ms", "ts_delta", "logtype_id", "vars", "event_date")
-        .repartitionByRange(*layout)
+        .repartitionByRange(_write_tasks(spark, events, path, chunk), *layout)
         .sortWithinPartitions(*layout)
         .write.mode("overwrite")
         .option("compression", compression)
@@ -115,6 +124,15 @@ def write_log(
     )
 
 
+def _write_tasks(spark: SparkSession, events: DataFrame, path: str, chunk: int) -> int:
+    """Tasks for the sorted write, from the row count and the length of some messages."""
+    n = read_streams(spark, path).filter(F.col("chunk") == chunk).agg(F.sum("n_events")).first()[0] or 0
+    width = events.select("message").limit(1000).agg(F.avg(F.octet_length("message"))).first()[0] or 0
+    size = n * (width + _ROW_BYTES)
+    cores = spark.sparkContext.defaultParallelism
+    return max(math.ceil(size / TASK_BYTES), min(cores, math.ceil(size / _SMALL_TASK_BYTES)), 1)
+
+
 def _write_new_logtypes(spark: SparkSession, encoded: DataFrame, path: str, chunk: int, compression: str) -> None:
     found = encoded.select("logtype").filter(F.col("logtype").isNotNull()).distinct()
     start = 0
