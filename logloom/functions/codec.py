@@ -17,24 +17,25 @@ the variables, so prose with few variables yields short arrays.
 
 from __future__ import annotations
 
+import string
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from logloom import schema as S
 
 # Token alphabet and the spellings of integers and decimals.
-TOKEN_CHARS = r"A-Za-z0-9+\-._\\"
+# Characters are listed one by one: Java tests such a class by table lookup.
+TOKEN_CHARS = string.ascii_letters + string.digits + r"+\-._\\"
 INTEGER = r"^(0|-?[1-9][0-9]{0,17})$"
 DECIMAL = r"^-?(0|[1-9][0-9]{0,7})\.[0-9]{1,8}$"
 NEGATIVE_ZERO = r"^-0\.0+$"
+MAX_SCALE = 8
 
-# Group 1 is fixed text: up to and with "=", or the digit-free rest of the message, or
-# all that comes before the token that holds the next digit. Group 2 is the token.
-# The order matters: only the last form backtracks, and no further than one token.
-PIECE = (
-    r"([^0-9=]*+=|[^0-9=]++\z|(?:[^0-9=]*[^0-9=A-Za-z+\-._\\])?)"
-    rf"([{TOKEN_CHARS}]*+)"
-)
+# Group 1 is fixed text: a run without digits and "=", closed by "=" or by the end of the
+# message, or cut back to the start of the token that holds the next digit. Group 2 is
+# the token.
+PIECE = rf"([^{string.digits}=]*(?:=|\z|(?<![{TOKEN_CHARS}])))([{TOKEN_CHARS}]*+)"
 
 INT32_MIN, INT32_MAX = -2147483648, 2147483647
 
@@ -66,7 +67,10 @@ def token_kind(token: Column, width: int) -> Column:
     return (
         F.when(token.rlike(INTEGER) & _fits(token.try_cast("bigint"), width), F.lit("i"))
         .when(
-            token.rlike(DECIMAL) & ~token.rlike(NEGATIVE_ZERO) & _fits(_unscaled(token), width),
+            F.contains(token, F.lit("."))
+            & token.rlike(DECIMAL)
+            & ~token.rlike(NEGATIVE_ZERO)
+            & _fits(_unscaled(token), width),
             F.lit("f"),
         )
         .when(token.rlike("[A-Za-z0-9]"), F.lit("d"))
@@ -83,11 +87,8 @@ def unescape_fixed(text: Column) -> Column:
 
 def logtype_of(fixed: Column, toks: Column, width: int) -> Column:
     def piece(text: Column, token: Column) -> Column:
-        kind = token_kind(token, width)
-        return F.concat(
-            escape_fixed(text),
-            F.when(kind == "i", "<i>").when(kind == "f", "<f>").when(kind == "d", "<d>").otherwise(token),
-        )
+        placeholder = F.concat(F.lit("<"), token_kind(token, width), F.lit(">"))
+        return F.concat(escape_fixed(text), F.coalesce(placeholder, token))
 
     return F.array_join(F.zip_with(fixed, toks, piece), "")
 
@@ -113,11 +114,14 @@ def vars_of(toks: Column, width: int) -> Column:
 
 def render_var(v: Column) -> Column:
     """The token text of one variable."""
-    digits = F.abs(v["num"]).cast("string")
-    padded = F.lpad(digits, F.greatest(F.length(digits), v["scale"] + 1), "0")
-    whole = F.substring(padded, F.lit(1), F.length(padded) - v["scale"])
-    fraction = F.right(padded, v["scale"])
-    decimal = F.concat(F.when(v["num"] < 0, "-").otherwise(""), whole, F.lit("."), fraction)
+    size = F.abs(v["num"])
+    unit = F.get(F.array(*[F.lit(10**n) for n in range(MAX_SCALE + 1)]), v["scale"])
+    decimal = F.concat(
+        F.when(v["num"] < 0, "-").otherwise(""),
+        F.call_function("div", size, unit).cast("string"),
+        F.lit("."),
+        F.lpad((size % unit).cast("string"), v["scale"], F.lit("0")),
+    )
     return (
         F.when(v["k"] == "i", v["num"].cast("string")).when(v["k"] == "f", decimal).when(v["k"] == "d", v["dict"])
     )
@@ -134,15 +138,15 @@ def var_kinds(variables: Column) -> Column:
 
 def message_of(logtype: Column, variables: Column) -> Column:
     """Put a message back together; callers check :func:`is_decodable` first."""
-    texts = F.split(logtype, "<", -1)
+    # Cut at "<", every text starts with the rest of its placeholder, "k>"; the first
+    # one gets such a start as well and an empty variable.
+    texts = F.split(F.concat(F.lit("i>"), logtype), "<", -1)
     rendered = F.concat(F.array(F.lit("")), F.transform(variables, render_var))
 
-    # Every text but the first starts with the rest of its placeholder, "k>".
     def piece(text: Column, var_text: Column) -> Column:
-        return F.concat(var_text, unescape_fixed(F.regexp_replace(text, F.lit("^[ifd]>"), F.lit(""))))
+        return F.concat(var_text, unescape_fixed(F.substring(text, 3, 2**31 - 1)))
 
-    head_safe = F.concat(F.array(F.concat(F.lit("i>"), texts[0])), F.slice(texts, F.lit(2), F.size(texts)))
-    return F.array_join(F.zip_with(head_safe, rendered, piece), "")
+    return F.array_join(F.zip_with(texts, rendered, piece), "")
 
 
 def is_decodable(logtype: Column, variables: Column) -> Column:
@@ -151,7 +155,7 @@ def is_decodable(logtype: Column, variables: Column) -> Column:
         variables,
         lambda v: F.when(v["k"] == "d", v["dict"].isNotNull())
         .when(v["k"] == "i", v["num"].isNotNull())
-        .otherwise(v["num"].isNotNull() & v["scale"].isNotNull() & (v["scale"] > 0)),
+        .otherwise(v["num"].isNotNull() & F.coalesce(v["scale"].between(1, MAX_SCALE), F.lit(False))),
     )
     same = F.coalesce(template_kinds(logtype) == var_kinds(variables), F.lit(False))
     return same & F.coalesce(complete, F.lit(False))
