@@ -27,17 +27,19 @@ def search_encoded(
     lower: int = S.MIN_TS,
     upper: int = S.MAX_TS,
     stop_at_upper: bool = False,
+    n_rows: int | None = None,
 ) -> DataFrame:
     """Same rows as :func:`search` on the decoded table.
 
     Log types that no query can reach are dropped first, on the dictionary. Few
     remaining ids are pushed to the Parquet scan, whose files are sorted by id. The
     join that brings in the log type text drops the other rows before decoding, and
-    the exact predicate runs on what is left.
+    the exact predicate runs on what is left. ``n_rows`` saves a count where known.
     """
     queries = list(queries)
     rows = encoded.filter(in_interval(lower, upper))
-    if dictionary.count() * MIN_ROWS_PER_LOGTYPE > encoded.count():
+    n_rows = encoded.count() if n_rows is None else n_rows
+    if dictionary.count() * MIN_ROWS_PER_LOGTYPE > n_rows:
         # Nearly every row has its own log type (prose): nothing to gain from pruning.
         hits = search(decode_log(with_logtypes(rows, dictionary)).select(*S.EVENT_COLS), queries, lower, upper)
         return before_cutoff(hits, upper_cutoffs(encoded, upper)) if stop_at_upper else hits
@@ -62,14 +64,15 @@ def search_log(
 ) -> DataFrame:
     """:func:`search_encoded` over a stored log of either width."""
     rows, streams = read_encoded(spark, path), read_streams(spark, path)
-    if not streams.filter(F.col("width") == 4).isEmpty():
+    n_delta, n_rows = streams.agg(F.count_if(F.col("width") == 4), F.sum("n_events")).first()
+    if n_delta:
         # Delta-coded times need the whole stream, so neither folders nor row groups prune.
         rows = restore_timestamps(rows, streams)
     elif not stop_at_upper:
         # Folders are whole days; out-of-range days are never opened.
         days = F.col("event_date").between(_day(lower), _day(upper))
         rows = rows.filter(days)
-    return search_encoded(rows, read_logtypes(spark, path), queries, lower, upper, stop_at_upper)
+    return search_encoded(rows, read_logtypes(spark, path), queries, lower, upper, stop_at_upper, n_rows or 0)
 
 
 # First and last millisecond that Spark dates can hold (years 1 to 9999).

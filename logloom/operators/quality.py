@@ -6,9 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from logloom import schema as S
-from logloom.operators.cursor import earliest
+from logloom.functions.glob import first_match_index
 from logloom.operators.encoding import decode_log, encode_log
-from logloom.operators.search import Queries, search, upper_cutoffs
+from logloom.operators.search import Queries, in_interval
 
 
 def roundtrip_audit(events: DataFrame, width: int = 8) -> DataFrame:
@@ -56,20 +56,21 @@ def search_outcome(
     Success with the first match; QueryNotFound when an event at or after ``upper``
     came first; EndOfIr when the stream ran out.
     """
-    cutoffs = upper_cutoffs(events, upper)
-    firsts = earliest(search(events, queries, lower, upper).select("stream_id", "seq", "idx"))
-    # Both tables hold one row per stream at most; neither carries event rows.
-    per_stream = (
-        events.select("stream_id")
-        .distinct()
-        .join(cutoffs, "stream_id", "left")
-        .join(firsts, "stream_id", "left")
+    queries = list(queries)
+    index = first_match_index(queries, F.col("message")).cast("int")
+    hit_idx = F.when(in_interval(lower, upper), index)
+    hit_seq = F.when(hit_idx.isNotNull(), F.col("seq"))
+    # One scan and one aggregate: the first match and the cutoff of every stream.
+    ends = events.groupBy("stream_id").agg(
+        F.min(F.when(F.col("ts_ms") >= F.lit(upper), F.col("seq"))).alias("cut_seq"),
+        F.min(hit_seq).alias("hit_seq"),
+        F.min_by(hit_idx, hit_seq).alias("hit_idx"),
     )
-    hit = F.col("seq").isNotNull() & (F.col("cut_seq").isNull() | (F.col("seq") < F.col("cut_seq")))
-    return per_stream.select(
+    hit = F.col("hit_seq").isNotNull() & (F.col("cut_seq").isNull() | (F.col("hit_seq") < F.col("cut_seq")))
+    return ends.select(
         "stream_id",
-        F.when(hit, F.col("seq")).alias("seq"),
-        F.when(hit, F.col("idx")).alias("idx"),
+        F.when(hit, F.col("hit_seq")).alias("seq"),
+        F.when(hit, F.col("hit_idx")).alias("idx"),
         F.when(hit, S.SUCCESS)
         .when(F.col("cut_seq").isNotNull(), S.QUERY_NOT_FOUND)
         .otherwise(S.END_OF_IR)

@@ -17,7 +17,8 @@ from pyspark.sql.streaming import StreamingQuery
 from logloom import schema as S
 from logloom.operators.search import Queries, search, stream_search, upper_cutoffs
 from logloom.operators.timestamps import delta_restore
-from logloom.plans.joins import attach
+from logloom.plans.joins import attach, attach_materialized
+from logloom.session import materialize
 from logloom.sources.log_tables import write_log
 from logloom.streaming.state import StateTable
 
@@ -70,16 +71,18 @@ def start_restore(
         spark = batch.sparkSession
         batch.persist()
         try:
-            known = state.before(epoch)
-            joined = attach(batch, known, ["stream_id"], "left", salt_from=["seq"])
+            # State and references are cut down to the streams that arrived.
+            present = batch.select("stream_id").distinct()
+            known = materialize(state.before(epoch).join(present, "stream_id", "left_semi"))
+            joined = attach_materialized(batch, known, ["stream_id"], "left", salt_from=["seq"])
             is_late = F.col("last_seq").isNotNull() & (F.col("seq") <= F.col("last_seq"))
             late = joined.filter(is_late).select(*batch.columns)
             late.write.mode("overwrite").parquet(f"{out}/late/epoch={epoch}")
             fresh = joined.filter(~is_late).select(*batch.columns)
             # One seed per stream: the last restored time, else the reference.
             seeds = (
-                references.select("stream_id", "reference_ts")
-                .join(known.select("stream_id", "last_ts"), "stream_id", "full")
+                present.join(references.select("stream_id", "reference_ts"), "stream_id", "left")
+                .join(known.select("stream_id", "last_ts"), "stream_id", "left")
                 .select("stream_id", F.coalesce("last_ts", "reference_ts").alias("reference_ts"))
             )
             delta_restore(fresh, seeds).write.mode("overwrite").parquet(f"{out}/events/epoch={epoch}")
