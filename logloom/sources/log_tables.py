@@ -8,7 +8,8 @@ Below one path lie three Parquet tables, each cut into ``chunk=<n>`` folders:
 * ``streams``   one row per stream of the chunk with its header fields
 
 Writing the newest chunk again replaces it, so a retried or restarted writer changes
-nothing. One writer at a time appends to a log.
+nothing. One writer at a time appends to a log; it keeps its
+intermediate columns in ``staging`` and empties that folder at the end.
 """
 
 from __future__ import annotations
@@ -34,7 +35,7 @@ _ROW_BYTES = 32
 LOGTYPE_SCHEMA = "logtype_id bigint, logtype string, chunk bigint"
 STREAM_SCHEMA = (
     "stream_id bigint, ts_pattern string, ts_pattern_syntax string, tz_id string, "
-    "reference_ts bigint, width int, closed boolean, n_events bigint, chunk bigint"
+    "reference_ts bigint, width int, closed boolean, n_events bigint, n_bytes bigint, chunk bigint"
 )
 EVENT_SCHEMA = T.StructType(
     [
@@ -82,13 +83,21 @@ def write_log(
     """
     spark = events.sparkSession
     zone = tz_id if tz_id is not None else spark.conf.get("spark.sql.session.timeZone")
-    encoded = encode_log(events.select(*S.EVENT_COLS), width).drop("status")
-
-    _write_new_logtypes(spark, encoded, path, chunk, compression)
+    # The source is read and encoded once. The dictionary, the headers and the range
+    # sampling of the sorted write all work on the staged columns.
+    sized = events.select(*S.EVENT_COLS).withColumn("n_bytes", F.octet_length("message"))
+    staging = f"{path}/staging"
+    encoded = encode_log(sized, width).drop("status")
+    encoded.write.mode("overwrite").option("compression", compression).parquet(staging)
+    staged = spark.read.schema(encoded.schema).parquet(staging)
+
+    _write_new_logtypes(spark, staged, path, chunk, compression)
     dictionary = read_logtypes(spark, path).filter(F.col("chunk") <= chunk).drop("chunk")
 
-    headers = events.groupBy("stream_id").agg(
-        F.min_by("ts_ms", "seq").alias("first_ts"), F.count(F.lit(1)).alias("n_events")
+    headers = staged.groupBy("stream_id").agg(
+        F.min_by("ts_ms", "seq").alias("first_ts"),
+        F.count(F.lit(1)).alias("n_events"),
+        F.sum("n_bytes").alias("n_bytes"),
     )
     if references is not None:
         headers = headers.join(references.select("stream_id", "reference_ts"), "stream_id", "left")
@@ -103,9 +112,10 @@ def write_log(
         F.lit(width).cast("int").alias("width"),
         F.lit(closed).alias("closed"),
         "n_events",
+        F.coalesce("n_bytes", F.lit(0)).cast("bigint").alias("n_bytes"),
     ).write.mode("overwrite").option("compression", compression).parquet(f"{path}/streams/chunk={chunk}")
 
-    dated = encoded.withColumn("event_date", F.to_date(F.timestamp_millis("ts_ms")))
+    dated = staged.drop("n_bytes").withColumn("event_date", F.to_date(F.timestamp_millis("ts_ms")))
     rows, _ = with_logtype_ids(dated, dictionary)
     if width == 4:
         rows = delta_encode(rows, references).withColumn("ts_ms", F.lit(None).cast("bigint"))
@@ -115,20 +125,22 @@ def write_log(
     layout = ["event_date", "logtype_id", "stream_id", "seq"]
     (
         rows.select("stream_id", "seq", "ts_ms", "ts_delta", "logtype_id", "vars", "event_date")
-        .repartitionByRange(_write_tasks(spark, events, path, chunk), *layout)
+        .repartitionByRange(_write_tasks(spark, path, chunk), *layout)
         .sortWithinPartitions(*layout)
         .write.mode("overwrite")
         .option("compression", compression)
         .partitionBy("event_date")
         .parquet(f"{path}/events/chunk={chunk}")
     )
+    # Frees the staged files.
+    spark.createDataFrame([], encoded.schema).write.mode("overwrite").parquet(staging)
 
 
-def _write_tasks(spark: SparkSession, events: DataFrame, path: str, chunk: int) -> int:
-    """Tasks for the sorted write, from the row count and the length of some messages."""
-    n = read_streams(spark, path).filter(F.col("chunk") == chunk).agg(F.sum("n_events")).first()[0] or 0
-    width = events.select("message").limit(1000).agg(F.avg(F.octet_length("message"))).first()[0] or 0
-    size = n * (width + _ROW_BYTES)
+def _write_tasks(spark: SparkSession, path: str, chunk: int) -> int:
+    """Tasks for the sorted write, from the message bytes of the chunk."""
+    headers = read_streams(spark, path).filter(F.col("chunk") == chunk)
+    n, n_bytes = headers.agg(F.sum("n_events"), F.sum("n_bytes")).first()
+    size = (n_bytes or 0) + (n or 0) * _ROW_BYTES
     cores = spark.sparkContext.defaultParallelism
     return max(math.ceil(size / TASK_BYTES), min(cores, math.ceil(size / _SMALL_TASK_BYTES)), 1)
 
