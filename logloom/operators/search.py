@@ -82,7 +82,8 @@ def search_query_table(
 
     The queries become one expression over a single scan: no event row is paired with
     query rows. A table beyond ``slice_size`` is worked off slice by slice in ``idx``
-    order; each slice stores its matches, and the smallest index per event wins.
+    order; each slice stores its matches, and the smallest index per event wins. ``idx``
+    is unique, being the place of the query in the list.
     """
     spark = events.sparkSession
 

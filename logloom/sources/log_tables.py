@@ -8,8 +8,8 @@ Below one path lie three Parquet tables, each cut into ``chunk=<n>`` folders:
 * ``streams``   one row per stream of the chunk with its header fields
 
 Writing the newest chunk again replaces it, so a retried or restarted writer changes
-nothing. One writer at a time appends to a log; it keeps its
-intermediate columns in ``staging`` and empties that folder at the end.
+nothing. One writer at a time appends to a log; it keeps intermediate columns in
+``staging`` and empties that folder at the end.
 """
 
 from __future__ import annotations
