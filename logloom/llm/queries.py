@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logloom.llm import exact_dedup, mixing, topk_search
+from logloom.llm import exact_dedup, language_id, license_scan, mixing, topk_search, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -90,3 +90,40 @@ SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM (
   SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM pairs)
 WHERE rank <= 5
 """
+
+# --- license scans -----------------------------------------------------------------
+
+
+@registered
+def op3_license_scan(spark, sf_dir):
+    return license_scan.scan_licenses(table(spark, sf_dir, "documents"))
+
+
+# --- toxicity ----------------------------------------------------------------------
+
+
+@registered
+def op7_toxicity(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score_severity(docs, toxicity.fit_severity(docs, table(spark, sf_dir, "labels")))
+
+
+# --- language ID -------------------------------------------------------------------
+
+
+@registered
+def op9_language_id(spark, sf_dir):
+    """Documents with their declared language and source, and pages with markup and address."""
+    docs, pages = table(spark, sf_dir, "documents"), table(spark, sf_dir, "pages")
+    models = language_id.fit_text_models(docs)
+    of_docs = language_id.identify(docs, models, declared_col="lang", host_col="source", keep=["doc_id"])
+    pages = pages.select(
+        "page_id",
+        language_id.visible_text(F.col("html")).alias("text"),
+        language_id.declared_in_markup(F.col("html")).alias("declared"),
+        language_id.host_of(F.col("url")).alias("host"),
+    )
+    of_pages = language_id.identify(pages, models, declared_col="declared", host_col="host", keep=["page_id"])
+    return of_docs.withColumn("page_id", F.lit(None).cast("bigint")).unionByName(
+        of_pages.withColumn("doc_id", F.lit(None).cast("bigint"))
+    )
