@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logloom.llm import exact_dedup, language_id, license_scan, mixing, topk_search, toxicity
+from logloom.llm import bpe, exact_dedup, language_id, license_scan, mixing, topk_search, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -127,3 +128,20 @@ def op9_language_id(spark, sf_dir):
     return of_docs.withColumn("page_id", F.lit(None).cast("bigint")).unionByName(
         of_pages.withColumn("doc_id", F.lit(None).cast("bigint"))
     )
+
+# --- byte-level BPE ----------------------------------------------------------------
+
+
+def multi_vocabulary() -> bpe.Vocabulary:
+    return bpe.Vocabulary.load(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+@registered
+def op1_byte_bpe(spark, sf_dir):
+    rows = bpe.round_trip(table(spark, sf_dir, "documents"), multi_vocabulary(), keep=["doc_id"])
+    return rows.select(
+        "doc_id",
+        F.floor(F.octet_length("ids") / 4).cast("bigint").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
