@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logloom.llm import bpe, exact_dedup, language_id, license_scan, mixing, topk_search, toxicity
+from logloom.llm import bpe, exact_dedup, language_id, license_scan, mixing, near_dup, topk_search, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -145,3 +145,11 @@ def op1_byte_bpe(spark, sf_dir):
         F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
+
+# --- n-gram Jaccard join -----------------------------------------------------------
+
+
+@registered
+def op10_ngram_jaccard(spark, sf_dir):
+    found = near_dup.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_shingles", "component_id")
