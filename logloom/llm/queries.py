@@ -8,7 +8,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logloom.llm import bpe, exact_dedup, language_id, license_scan, mixing, near_dup, topk_search, toxicity
+from logloom.llm import (
+    bpe,
+    exact_dedup,
+    language_id,
+    license_scan,
+    mixing,
+    near_dup,
+    suffix_tree_lm,
+    topk_search,
+    toxicity,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -153,3 +163,10 @@ def op1_byte_bpe(spark, sf_dir):
 def op10_ngram_jaccard(spark, sf_dir):
     found = near_dup.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_shingles", "component_id")
+
+# --- LM scoring --------------------------------------------------------------------
+
+
+@registered
+def op8_lm_scores(spark, sf_dir):
+    return suffix_tree_lm.score_texts(table(spark, sf_dir, "documents"))
