@@ -15,6 +15,7 @@ from logloom.llm import (
     license_scan,
     mixing,
     near_dup,
+    suffix_dedup,
     suffix_tree_lm,
     topk_search,
     toxicity,
@@ -170,3 +171,18 @@ def op10_ngram_jaccard(spark, sf_dir):
 @registered
 def op8_lm_scores(spark, sf_dir):
     return suffix_tree_lm.score_texts(table(spark, sf_dir, "documents"))
+
+# --- suffix-array dedup ------------------------------------------------------------
+
+
+@registered
+def op6_suffix_dedup(spark, sf_dir):
+    found = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+    removed = F.aggregate("spans", F.lit(0).cast("bigint"), lambda a, s: a + s["end"] - s["start"])
+    return found.select(
+        "doc_id",
+        "n_bytes",
+        removed.alias("n_removed"),
+        F.size("spans").cast("bigint").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
