@@ -192,6 +192,19 @@ def identify(
     ).drop("_none")
 
 
+def keep_accepted(docs: DataFrame, models: TextModels, text_col: str = "text", declared_col: str | None = None, host_col: str | None = None, **options) -> DataFrame:
+    """The accepted rows of ``docs``, all columns unchanged.
+
+    Texts are scored where they are read; only a key of each rejected row is joined back. Rows with
+    the same text, declaration and host have the same key and the same verdict.
+    """
+    used = [c for c in (text_col, declared_col, host_col) if c]
+    key = F.xxhash64(*[docs[c] for c in used], *[docs[c].isNull() for c in used])
+    judged = identify(docs.select(*[docs[c] for c in used], key.alias("_row_key")), models, text_col, declared_col, host_col, ["_row_key"], **options)
+    rejected = judged.filter("not accepted").select("_row_key").distinct()
+    return docs.join(rejected, key == F.col("_row_key"), "left_anti")
+
+
 def host_of(url: Column) -> Column:
     """Lower-case host name of an address, without user, port and path; null if there is none."""
     host = F.regexp_extract(F.lower(url), r"^[a-z][a-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)", 1)
