@@ -97,7 +97,9 @@ class LicenseScanner:
         same = [m for m in near.get_matching_blocks() if m.size]
         if not same:
             return 0, 0, len(template), ""
-        first, last = lo + same[0].b, lo + same[-1].b + same[-1].size
+        # Words before the first and after the last match stand for the template's words there.
+        first = max(0, lo + same[0].b - same[0].a)
+        last = min(len(words), lo + same[-1].b + len(template) - same[-1].a)
         inside = difflib.SequenceMatcher(None, template, words[first:last], autojunk=False)
         changes = []
         for op, a, b, c, d in inside.get_opcodes():
