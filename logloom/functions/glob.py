@@ -19,6 +19,14 @@ from pyspark.sql import functions as F
 
 _ANY_ONE = None  # marks "?" inside a piece
 
+# The only letter whose lower case depends on its neighbours, and its other form.
+FINAL_SIGMA = ("ς", "σ")
+
+
+def folded(text: Column) -> Column:
+    """Case-folded text, letter by letter the same whatever stands around a letter."""
+    return F.translate(F.lower(text), *FINAL_SIGMA)
+
 
 @dataclass(frozen=True)
 class Glob:
@@ -69,7 +77,7 @@ class Glob:
         for piece in self.pieces:
             folded: list[str | None] = []
             for c in piece:
-                folded.extend([None] if c is None else c.lower())
+                folded.extend([None] if c is None else c.lower().replace(*FINAL_SIGMA))
             pieces.append(tuple(folded))
         return Glob(tuple(pieces), self.open_start, self.open_end)
 
@@ -101,9 +109,10 @@ class Glob:
                 return F.endswith(text, literal)
             return text == literal
         cheap = [F.contains(text, F.lit(part)) for part in dict.fromkeys(self.literals())]
-        return reduce(Column.__and__, [*cheap, F.rlike(text, F.lit(self._regex()))])
+        return reduce(Column.__and__, [*cheap, F.rlike(text, F.lit(self.regex()))])
 
-    def _regex(self) -> str:
+    def regex(self) -> str:
+        """The query as a regular expression in Java syntax."""
         out = [r"(?s)\A"]
         last = len(self.pieces) - 1
         for i, piece in enumerate(self.pieces):
@@ -139,7 +148,7 @@ class WildcardQuery:
         glob = Glob.parse(self.query)
         if self.case_sensitive:
             return glob.matches(message)
-        return glob.lowered().matches(F.lower(message))
+        return glob.lowered().matches(folded(message))
 
 
 def as_queries(queries: Iterable[WildcardQuery | str]) -> list[WildcardQuery]:

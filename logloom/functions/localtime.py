@@ -5,9 +5,7 @@ Sessions use UTC as their time zone; the stream's own zone is applied explicitly
 
 from __future__ import annotations
 
-import zoneinfo
 from collections.abc import Sequence
-from functools import lru_cache
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -17,15 +15,9 @@ ISO_PATTERN = "yyyy-MM-dd'T'HH:mm:ss.SSS"
 FALLBACK_ZONE = "UTC"
 
 
-@lru_cache(maxsize=1)
-def known_zones() -> tuple[str, ...]:
-    """Zone names that may appear in data: regional names and UTC."""
-    regional = {z for z in zoneinfo.available_timezones() if "/" in z and not z.startswith(("posix/", "right/"))}
-    return tuple(sorted(regional | {"UTC", "GMT"}))
-
-
 def is_known_zone(tz_id: Column) -> Column:
-    return F.coalesce(tz_id.isin(*known_zones()), F.lit(False))
+    """Whether Spark accepts the zone: regional names, short names and offsets."""
+    return F.call_function("try_make_timestamp", *[F.lit(x) for x in (2000, 1, 1, 0, 0, 0)], tz_id).isNotNull()
 
 
 def usable_zone(tz_id: Column) -> Column:
@@ -49,7 +41,14 @@ def render_local(
     ts_ms: Column, tz_id: Column, pattern: Column | str, known_patterns: Sequence[str] = ()
 ) -> Column:
     """Local time text of an epoch time."""
-    local = F.from_utc_timestamp(F.timestamp_millis(ts_ms), usable_zone(tz_id))
+    return render_in_zone(ts_ms, usable_zone(tz_id), pattern, known_patterns)
+
+
+def render_in_zone(
+    ts_ms: Column, zone: Column, pattern: Column | str, known_patterns: Sequence[str] = ()
+) -> Column:
+    """As :func:`render_local`, for a zone that is known to be valid."""
+    local = F.from_utc_timestamp(F.timestamp_millis(ts_ms), zone)
     return _by_pattern(pattern, known_patterns, lambda p: F.call_function("date_format", local, p))
 
 

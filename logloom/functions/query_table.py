@@ -1,0 +1,88 @@
+"""Many wildcard queries at once: literals find the candidates, the exact test decides.
+
+Each query is entered into an Aho-Corasick automaton by its longest literal, so a message is read once
+whatever the number of queries, and only queries whose literal occurs are tested. Queries without a
+literal are always candidates. Tests agree with :mod:`logloom.functions.glob`.
+"""
+
+from __future__ import annotations
+
+import re
+from collections.abc import Callable, Iterator
+
+import ahocorasick
+import pandas as pd
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
+from logloom.functions.glob import FINAL_SIGMA, Glob
+
+
+def exact_test(glob: Glob) -> Callable[[str], bool]:
+    """The whole-message test of a query on Python strings."""
+    if not glob.pieces:
+        return (lambda text: True) if glob.open_start else (lambda text: text == "")
+    if len(glob.pieces) == 1 and None not in glob.pieces[0]:
+        literal = "".join(glob.pieces[0])
+        if glob.open_start and glob.open_end:
+            return lambda text: literal in text
+        if glob.open_end:
+            return lambda text: text.startswith(literal)
+        if glob.open_start:
+            return lambda text: text.endswith(literal)
+        return lambda text: text == literal
+    pattern = re.compile(glob.regex().replace(r"\z", r"\Z"))
+    return lambda text: pattern.match(text) is not None
+
+
+class QueryMatcher:
+    """The smallest index of the queries ``(idx, query, case_sensitive)`` that match a message."""
+
+    def __init__(self, queries: list[tuple[int, str, bool]]):
+        queries = sorted(queries)
+        self.indexes = [q[0] for q in queries]
+        globs = [Glob.parse(text) if exact else Glob.parse(text).lowered() for _, text, exact in queries]
+        self.tests = [exact_test(g) for g in globs]
+        self.folds = [not exact for _, _, exact in queries]
+        self.always = []
+        words: tuple[dict, dict] = ({}, {})
+        for place, (glob, folds) in enumerate(zip(globs, self.folds, strict=True)):
+            literal = max(glob.literals(), key=len, default="")
+            if literal:
+                words[folds].setdefault(literal, []).append(place)
+            else:
+                self.always.append(place)
+        self.automata = []
+        for by_literal in words:
+            automaton = ahocorasick.Automaton()
+            for literal, places in by_literal.items():
+                automaton.add_word(literal, places)
+            if by_literal:
+                automaton.make_automaton()
+            self.automata.append(automaton if by_literal else None)
+
+    def match(self, message: str | None) -> int | None:
+        if message is None:
+            return None
+        texts = message, message.lower().replace(*FINAL_SIGMA)
+        found = set(self.always)
+        for automaton, text in zip(self.automata, texts, strict=True):
+            if automaton is not None:
+                for _, places in automaton.iter(text):
+                    found.update(places)
+        for place in sorted(found):
+            if self.tests[place](texts[self.folds[place]]):
+                return self.indexes[place]
+        return None
+
+
+def table_match_index(queries: list[tuple[int, str, bool]], message: Column) -> Column:
+    """The smallest index of the queries that match, else null; Arrow batches, one pass."""
+
+    @F.pandas_udf("int")
+    def index(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        matcher = QueryMatcher(queries)
+        for batch in batches:
+            yield pd.Series([matcher.match(m) for m in batch], dtype="Int32")
+
+    return index(message)

@@ -30,7 +30,7 @@ def seek(events: DataFrame, ts_ms: int) -> DataFrame:
 
 def read_from(events: DataFrame, ts_ms: int) -> DataFrame:
     """The seek event and all that follow it, also where time falls back below ``ts_ms``."""
-    joined = attach(events, seek_positions(events, ts_ms), ["stream_id"], "inner", salt_from=["seq"])
+    joined = attach(events, seek_positions(events, ts_ms), ["stream_id"], "inner")
     return joined.filter(F.col("seq") >= F.col("seek_seq")).drop("seek_seq")
 
 
@@ -40,14 +40,14 @@ def after_cursor(events: DataFrame, cursors: DataFrame) -> DataFrame:
     Streams without a cursor are read from their start.
     """
     side = cursors.select("stream_id", "after_seq")
-    joined = attach(events, side, ["stream_id"], "left", salt_from=["seq"])
+    joined = attach(events, side, ["stream_id"], "left")
     return joined.filter(F.col("after_seq").isNull() | (F.col("seq") > F.col("after_seq"))).drop("after_seq")
 
 
 def earliest(rows: DataFrame) -> DataFrame:
-    """The row of smallest ``seq`` per stream; map-side combined, no window."""
-    picked = rows.groupBy("stream_id").agg(F.min_by(F.struct(*rows.columns), "seq").alias("_row"))
-    return picked.select("_row.*")
+    """The row of smallest ``seq`` per stream: a hash aggregate of positions, then a semi join."""
+    first = rows.groupBy("stream_id").agg(F.min("seq").alias("seq"))
+    return attach(rows, first, S.EVENT_KEY, "left_semi")
 
 
 def next_match(

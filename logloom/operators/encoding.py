@@ -79,12 +79,12 @@ def with_logtype_ids(encoded: DataFrame, dictionary: DataFrame | None = None) ->
     stored = dictionary if dictionary is not None else logtype_dictionary(encoded)
     ids = stored.select("logtype", "logtype_id")
     # A null logtype (EncodeError) has no id and stays in the table with a null id.
-    rows = attach_materialized(encoded, ids, ["logtype"], "left", salt_from=S.EVENT_KEY)
+    rows = attach_materialized(encoded, ids, ["logtype"], "left")
     return rows.drop("logtype"), stored
 
 
 def with_logtypes(encoded: DataFrame, dictionary: DataFrame) -> DataFrame:
     """Replace ``logtype_id`` by the log type from a stored dictionary."""
     names = dictionary.select("logtype_id", "logtype")
-    rows = attach_materialized(encoded, names, ["logtype_id"], "left", salt_from=S.EVENT_KEY)
+    rows = attach_materialized(encoded, names, ["logtype_id"], "left")
     return rows.drop("logtype_id")

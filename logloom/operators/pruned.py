@@ -11,7 +11,7 @@ from logloom.operators.encoding import decode_log, with_logtypes
 from logloom.operators.search import Queries, before_cutoff, in_interval, search, upper_cutoffs
 from logloom.plans.joins import attach_materialized
 from logloom.session import materialize
-from logloom.sources.log_tables import read_encoded, read_logtypes, read_streams, restore_timestamps
+from logloom.sources.log_tables import DAY_MS, read_encoded, read_logtypes, read_streams, restore_timestamps
 
 # Up to this many candidate ids go into the scan as a literal list.
 PUSHED_IDS = 1000
@@ -20,6 +20,13 @@ PUSHED_IDS = 1000
 MIN_ROWS_PER_LOGTYPE = 4
 
 
+def _decoded(named: DataFrame) -> DataFrame:
+    """Events of encoded rows; the generator keeps the decoding from being copied into each test."""
+    keys = [c for c in S.EVENT_COLS if c != "message"]
+    rows = decode_log(named)
+    return rows.select(*keys, F.explode(F.array("message")).alias("message")).select(*S.EVENT_COLS)
+
+
 def search_encoded(
     encoded: DataFrame,
     dictionary: DataFrame,
@@ -41,7 +48,7 @@ def search_encoded(
     n_rows = encoded.count() if n_rows is None else n_rows
     if dictionary.count() * MIN_ROWS_PER_LOGTYPE > n_rows:
         # Nearly every row has its own log type (prose): nothing to gain from pruning.
-        hits = search(decode_log(with_logtypes(rows, dictionary)).select(*S.EVENT_COLS), queries, lower, upper)
+        hits = search(_decoded(with_logtypes(rows, dictionary)), queries, lower, upper)
         return before_cutoff(hits, upper_cutoffs(encoded, upper)) if stop_at_upper else hits
     candidates = materialize(
         dictionary.select("logtype_id", "logtype").filter(may_match(queries, "logtype"))
@@ -49,8 +56,8 @@ def search_encoded(
     ids = [r[0] for r in candidates.select("logtype_id").limit(PUSHED_IDS + 1).collect()]
     if len(ids) <= PUSHED_IDS:
         rows = rows.filter(F.col("logtype_id").isin(ids))
-    named = attach_materialized(rows, candidates, ["logtype_id"], "inner", salt_from=S.EVENT_KEY)
-    hits = search(decode_log(named).select(*S.EVENT_COLS), queries, lower, upper)
+    named = attach_materialized(rows, candidates, ["logtype_id"], "inner")
+    hits = search(_decoded(named), queries, lower, upper)
     return before_cutoff(hits, upper_cutoffs(encoded, upper)) if stop_at_upper else hits
 
 
@@ -69,16 +76,6 @@ def search_log(
         # Delta-coded times need the whole stream, so neither folders nor row groups prune.
         rows = restore_timestamps(rows, streams)
     elif not stop_at_upper:
-        # Folders are whole days; out-of-range days are never opened.
-        days = F.col("event_date").between(_day(lower), _day(upper))
-        rows = rows.filter(days)
+        # Folders are whole days in UTC; out-of-range days are never opened.
+        rows = rows.filter(F.col("event_day").between(lower // DAY_MS, upper // DAY_MS))
     return search_encoded(rows, read_logtypes(spark, path), queries, lower, upper, stop_at_upper, n_rows or 0)
-
-
-# First and last millisecond that Spark dates can hold (years 1 to 9999).
-_FIRST_DATED_MS, _LAST_DATED_MS = -62135596800000, 253402300799999
-
-
-def _day(ts_ms: int):
-    clamped = min(max(ts_ms, _FIRST_DATED_MS), _LAST_DATED_MS)
-    return F.to_date(F.timestamp_millis(F.lit(clamped)))

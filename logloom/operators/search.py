@@ -10,14 +10,11 @@ from pyspark.sql import functions as F
 
 from logloom import schema as S
 from logloom.functions.glob import WildcardQuery, any_match, first_match_index
+from logloom.functions.query_table import table_match_index
 from logloom.plans.joins import attach
-from logloom.session import scratch_path
 
 Queries = Iterable[WildcardQuery | str]
 
-# A query table up to this size is compiled into one expression, larger ones in slices.
-QUERY_SLICE = 4096
-
 # Up to this many queries are also stated as one OR, which the Parquet scan can use.
 _PUSHED_QUERIES = 16
 
@@ -38,7 +35,7 @@ def upper_cutoffs(events: DataFrame, upper: int) -> DataFrame:
 
 def before_cutoff(events: DataFrame, cutoffs: DataFrame) -> DataFrame:
     """Events before their stream's cutoff; streams without one are kept whole."""
-    joined = attach(events, cutoffs, ["stream_id"], "left", salt_from=["seq"])
+    joined = attach(events, cutoffs, ["stream_id"], "left")
     return joined.filter(F.col("cut_seq").isNull() | (F.col("seq") < F.col("cut_seq"))).drop("cut_seq")
 
 
@@ -71,45 +68,28 @@ def stream_search(events: DataFrame, queries: Queries, lower: int = S.MIN_TS, up
     return search(events, queries, lower, upper)
 
 
-def search_query_table(
-    events: DataFrame,
-    queries: DataFrame,
-    lower: int = S.MIN_TS,
-    upper: int = S.MAX_TS,
-    slice_size: int = QUERY_SLICE,
-) -> DataFrame:
+def search_query_table(events: DataFrame, queries: DataFrame, lower: int = S.MIN_TS, upper: int = S.MAX_TS) -> DataFrame:
     """As :func:`search`, with queries from a table ``(idx, query, case_sensitive)``.
 
-    The queries become one expression over a single scan: no event row is paired with
-    query rows. A table beyond ``slice_size`` is worked off slice by slice in ``idx``
-    order; each slice stores its matches, and the smallest index per event wins. ``idx``
-    is unique, being the place of the query in the list.
+    The query list is read by the driver, as the list of :func:`search` is; events are scanned once,
+    whatever its length, and no event row is paired with query rows. A few queries become one
+    expression, more are tested by :mod:`logloom.functions.query_table`; both give the same rows.
+    ``idx`` is the place of a query in the list: it must not be null or occur twice.
     """
-    spark = events.sparkSession
-
-    def compiled(rows: list) -> DataFrame:
-        qs = [WildcardQuery(r["query"], r["case_sensitive"]) for r in rows]
-        idx = first_match_index(qs, F.col("message"), [r["idx"] for r in rows])
-        found = events.filter(in_interval(lower, upper)).withColumn("idx", idx.cast("int"))
-        return found.filter(F.col("idx").isNotNull())
-
-    ordered = queries.orderBy("idx")
-    rows = ordered.limit(slice_size + 1).collect()
+    rows = [(r["idx"], r["query"], r["case_sensitive"]) for r in queries.select("idx", "query", "case_sensitive").collect()]
+    indexes = [r[0] for r in rows]
+    if None in indexes or len(set(indexes)) < len(indexes):
+        raise ValueError("idx must be given and unique for every query")
     if not rows:
         return search(events, [], lower, upper)
-    if len(rows) <= slice_size:
-        return compiled(rows)
-
-    path = scratch_path(spark, "query-slices")
-    number = 0
-    while rows:
-        part = rows[:slice_size]
-        compiled(part).write.mode("overwrite").parquet(f"{path}/slice={number}")
-        number += 1
-        rows = ordered.filter(F.col("idx") > part[-1]["idx"]).limit(slice_size).collect()
-    found = spark.read.parquet(path).drop("slice")
-    keys = [c for c in found.columns if c != "idx"]
-    return found.groupBy(*keys).agg(F.min("idx").alias("idx"))
+    rows.sort()
+    if len(rows) <= _PUSHED_QUERIES:
+        message = F.col("message")
+        index = first_match_index([WildcardQuery(q, exact) for _, q, exact in rows], message, [r[0] for r in rows])
+    else:
+        index = table_match_index(rows, F.col("message"))
+    found = events.filter(in_interval(lower, upper)).withColumn("idx", index.cast("int"))
+    return found.filter(F.col("idx").isNotNull())
 
 
 def contains(events: DataFrame, text: str) -> DataFrame:

@@ -18,7 +18,7 @@ def _with_reference(rows: DataFrame, references: DataFrame | int) -> DataFrame:
     if isinstance(references, int):
         return rows.withColumn("reference_ts", F.lit(references).cast("bigint"))
     side = references.select("stream_id", "reference_ts")
-    return attach(rows, side, ["stream_id"], "left", salt_from=["seq"])
+    return attach(rows, side, ["stream_id"], "left")
 
 
 def delta_encode(

@@ -18,7 +18,7 @@ _VIEWS = {
   SELECT user_id AS stream_id, event_id AS seq, epoch_us(ts) // 1000 AS ts_ms, {_MESSAGE} AS message
   FROM events)""",
     "log_disordered": f"""log_disordered AS (
-  SELECT user_id % 8 AS stream_id, (event_id * 7919) % 1000003 AS seq, epoch_us(ts) // 1000 AS ts_ms,
+  SELECT user_id % 8 AS stream_id, event_id - event_id % 1024 + ((event_id % 1024) * 7919) % 1024 AS seq, epoch_us(ts) // 1000 AS ts_ms,
          {_MESSAGE} AS message
   FROM events)""",
     "log_docs": """log_docs AS (
@@ -194,7 +194,7 @@ FROM log_events, (VALUES ('4/zstd'), ('8/none')) v(variant)""",
     ),
     "write_read_roundtrip_docs": _with("log_docs", rest=_DECODED + "log_docs"),
     "append_chunks": _with("log_events", rest="SELECT * FROM log_events"),
-    "scan_text": _with("log_events", rest="SELECT ts_ms, message FROM log_events"),
+    "scan_text": _with("log_events", rest="SELECT row_number() OVER (ORDER BY seq) - 1 AS place, ts_ms, message FROM log_events"),
     "wildcard_star": _search("log_events", _case(_like("user=1%click%code%{%}"))),
     "wildcard_qmark": _search("log_events", _case(_like("%took __._ ms, code_ _%"))),
     "wildcard_escape": _search(
@@ -361,8 +361,64 @@ FROM (
         "log_docs", _case(_like("%the%of%", 0, "lower(message)"), _like("%1_3%", 1))
     ),
 }
+_TABLE_MATCH = """CASE WHEN case_sensitive
+  THEN message LIKE replace(replace(query, '*', '%'), '?', '_') ESCAPE '^'
+  ELSE lower(message) LIKE lower(replace(replace(query, '*', '%'), '?', '_')) ESCAPE '^' END"""
+ORACLE_SQL["query_table_slices"] = _with(
+    "log_events",
+    "query_table",
+    rest=f"""SELECT stream_id, seq, ts_ms, message, idx
+FROM (SELECT stream_id, seq, ts_ms, message, min(idx) AS idx, few
+      FROM log_events, (VALUES (TRUE), (FALSE)) AS v(few) JOIN query_table ON (NOT few OR idx < 9) AND {_TABLE_MATCH}
+      GROUP BY stream_id, seq, ts_ms, message, few),
+     (VALUES (1), (2)) AS copies(copy)
+WHERE copy = 1 OR seq % 7 = 0""",
+)
+ORACLE_SQL["search_encoded_edges"] = _with(
+    "log_events",
+    rest="""SELECT stream_id, seq, ts_ms, message, CAST(0 AS INTEGER) AS idx FROM (
+  SELECT stream_id, seq, message, CASE WHEN seq % 12 < 6
+    THEN [-1, 0, 1, 253402300800000, 9223372036854775806, 9223372036854775807][seq % 12 + 1] ELSE ts_ms END AS ts_ms
+  FROM log_events)
+WHERE ts_ms >= 0 AND ts_ms < 9223372036854775807 AND message LIKE '%error%'""",
+)
+ORACLE_SQL["stream_status_stored"] = _with(
+    "log_events",
+    rest="""SELECT stream_id, n_events, closed,
+  CASE WHEN NOT closed THEN 'IncompleteIr' WHEN span <> n_events THEN 'CorruptedIr' ELSE 'Success' END AS status
+FROM (
+  SELECT stream_id, count(*) AS n_events, max(place) - min(place) + 1 AS span,
+    CASE WHEN stream_id % 5 = 0 THEN stream_id % 2 = 0 ELSE max(place) >= 4 END AS closed
+  FROM (SELECT stream_id, row_number() OVER (PARTITION BY stream_id ORDER BY seq) - 1 AS place FROM log_events)
+  WHERE (stream_id % 7 <> 0 OR place <> 1) AND (place < 4 OR stream_id % 5 <> 0)
+  GROUP BY stream_id)""",
+)
+ORACLE_SQL["search_outcome_all_streams"] = f"""SELECT * FROM ({ORACLE_SQL["search_outcome"]})
+UNION ALL SELECT max(user_id) + 1, NULL, NULL, 'EndOfIr' FROM events
+UNION ALL SELECT max(user_id) + 2, NULL, NULL, 'IncompleteIr' FROM events"""
+_ODD_CASE = "['ΟΔΟΣ', 'οδος', 'xΣ', 'straße', 'Ärger', 'ÉCOLE'][seq % 6 + 1]"
+ORACLE_SQL["wildcard_nocase_unicode"] = _with(
+    "log_docs",
+    rest=f"""SELECT stream_id, seq, ts_ms, message,
+  CAST(CASE WHEN m LIKE '%οδοσ%' THEN 0 WHEN m LIKE 'xσ%' THEN 1 WHEN m LIKE '%straße%' THEN 2
+            WHEN m LIKE 'ärger%' THEN 3 WHEN m LIKE 'école %' THEN 4 END AS INTEGER) AS idx
+FROM (SELECT *, replace(lower(message), 'ς', 'σ') AS m FROM (
+  SELECT stream_id, seq, ts_ms, concat({_ODD_CASE}, ' ', substr(message, 1, 20)) AS message FROM log_docs))""",
+)
+ORACLE_SQL["local_time_zones"] = _with(
+    "log_events",
+    rest="""SELECT stream_id, seq, tz_id, zone,
+  strftime(make_timestamp(ts_ms * 1000) + to_hours(h) + to_minutes(m), '%Y-%m-%d %H:%M:%S,%g') AS local_time
+FROM log_events JOIN (VALUES (0, 'CET', 'CET', 1, 0), (1, '+05:30', '+05:30', 5, 30), (2, 'Japan', 'Japan', 9, 0),
+  (3, 'America/Toronto', 'America/Toronto', -5, 0), (4, 'Mars/Olympus', 'UTC', 0, 0), (5, '', 'UTC', 0, 0)
+) AS z(k, tz_id, zone, h, m) ON stream_id % 6 = k""",
+)
+ORACLE_SQL["codec_errors"] = _with(
+    "log_conv",
+    rest="""SELECT stream_id, seq, CASE WHEN seq % 3 = 1 THEN 'EncodeError' ELSE 'Success' END AS encode_status,
+  CASE WHEN seq % 3 = 0 THEN 'Success' ELSE 'DecodeError' END AS status FROM log_conv""",
+)
 # Queries with the same result as another one.
-ORACLE_SQL["query_table_slices"] = ORACLE_SQL["query_table_join"]
 ORACLE_SQL["predicate_udf"] = ORACLE_SQL["predicate_column"]
 ORACLE_SQL["stream_search"] = ORACLE_SQL["multi_query_first_match"]
 ORACLE_SQL["stream_ts_restore"] = ORACLE_SQL["ts_delta_restore"]

@@ -2,9 +2,8 @@
 
 The side table may be small or huge, and one key may own a large share of the event
 rows. ``attach`` therefore computes the side once, measures it, and then either
-broadcasts it or joins by shuffle. Before a shuffle it counts the rows per key: the
-rows of a hot key are spread over as many salts as their number asks for, and only
-that key's side row is copied; all other keys keep a single salt.
+broadcasts it or joins by shuffle. In a shuffle join adaptive execution splits the rows
+of a hot key over several tasks, each with that key's one side row.
 """
 
 from __future__ import annotations
@@ -19,12 +18,6 @@ from logloom.session import materialize
 
 MAX_BROADCAST_BYTES = 64 * 1024 * 1024
 
-# A key with more rows than this is hot; its rows go to chunks of about this many.
-HOT_ROWS = 1_000_000
-# The hot threshold rises with the table, so there are never more hot keys than this.
-MAX_HOT_KEYS = 500_000
-_MAX_SALTS = 4096
-
 _ROW_OVERHEAD = 32
 _FIXED_WIDTH = 16
 
@@ -48,16 +41,10 @@ def attach(
     side: DataFrame,
     on: list[str],
     how: str = "left",
-    salt_from: list[str] | None = None,
     max_broadcast_bytes: int = MAX_BROADCAST_BYTES,
-    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
-    """``rows`` joined with ``side`` (unique on ``on``); ``how`` keeps or filters rows.
-
-    ``salt_from`` names row columns that vary within a key; leave it out when ``on``
-    itself is unique among the rows, as then no key can be hot.
-    """
-    return attach_materialized(rows, materialize(side), on, how, salt_from, max_broadcast_bytes, hot_rows)
+    """``rows`` joined with ``side`` (unique on ``on``); ``how`` keeps or filters rows."""
+    return attach_materialized(rows, materialize(side), on, how, max_broadcast_bytes)
 
 
 def attach_materialized(
@@ -65,38 +52,12 @@ def attach_materialized(
     side: DataFrame,
     on: list[str],
     how: str = "left",
-    salt_from: list[str] | None = None,
     max_broadcast_bytes: int = MAX_BROADCAST_BYTES,
-    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """As :func:`attach`, for a side that is already stored."""
     if how not in ("left", "inner", "left_semi", "left_anti"):
         raise ValueError(f"rows must stay on the left of the join, got {how}")
     if measured_bytes(side) <= max_broadcast_bytes:
         return rows.join(F.broadcast(side), on, how)
-    if not salt_from:
-        return rows.join(side, on, how)
-
-    # Keys are compared by hash here: a collision only gives a cold key more salts.
-    key = F.xxhash64(*on)
-    limit = max(hot_rows, rows.count() // MAX_HOT_KEYS)
-    hot = materialize(
-        rows.select(key.alias("_key"))
-        .groupBy("_key")
-        .count()
-        .filter(F.col("count") > limit)
-        .select("_key", F.least(F.ceil(F.col("count") / limit), F.lit(_MAX_SALTS)).cast("int").alias("_salts"))
-    )
-
-    def with_salts(df: DataFrame) -> DataFrame:
-        # At most MAX_HOT_KEYS rows of two numbers: small enough to broadcast.
-        known = df.withColumn("_key", key).join(F.broadcast(hot), "_key", "left")
-        return known.withColumn("_salts", F.coalesce("_salts", F.lit(1))).drop("_key")
-
-    salted = with_salts(rows).withColumn("_salt", F.pmod(F.hash(*salt_from), F.col("_salts"))).drop("_salts")
-    copies = (
-        with_salts(side)
-        .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.col("_salts") - 1)))
-        .drop("_salts")
-    )
-    return salted.join(copies, [*on, "_salt"], how).drop("_salt")
+    # Adaptive execution splits the tasks of hot keys; ``rows`` is the side that may hold them.
+    return rows.join(side, on, how)

@@ -95,15 +95,8 @@ def _or_zero(name: str) -> Column:
 def first_per_stream(df: DataFrame, k: int, stream: str = "stream_id", seq: str = "seq") -> DataFrame:
     """The ``k`` rows of smallest ``seq`` per stream, with their 1-based ``rank``.
 
-    Two ranking steps: the best ``k`` of every slice of a stream, then the best ``k``
-    of those. A hot stream is thus cut down in parallel before its rows meet.
+    Each task cuts what it read of a stream to ``k`` rows before the shuffle, so a hot stream
+    is small when its rows meet.
     """
-    sliced = df.withColumn("_slice", F.pmod(F.hash(seq), F.lit(64)))
-    local = sliced.withColumn(
-        "_local", F.row_number().over(Window.partitionBy(stream, "_slice").orderBy(seq))
-    ).filter(F.col("_local") <= k)
-    return (
-        local.drop("_slice", "_local")
-        .withColumn("rank", F.row_number().over(Window.partitionBy(stream).orderBy(seq)))
-        .filter(F.col("rank") <= k)
-    )
+    rank = F.row_number().over(Window.partitionBy(stream).orderBy(seq))
+    return df.withColumn("rank", rank).filter(F.col("rank") <= k)

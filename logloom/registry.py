@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from logloom import schema as S
@@ -98,13 +98,17 @@ def scan_text(spark, sf):
     events = views.log_events(spark, sf)
     zone = F.lit("America/Toronto")
     line = F.concat_ws(" ", render_local(F.col("ts_ms"), zone, PATTERN), F.col("message"))
-    events.repartitionByRange("seq").sortWithinPartitions("seq").select(line.alias("value")).write.option(
-        "compression", "gzip"
-    ).text(path)
+    events.repartitionByRange("seq").sortWithinPartitions("seq").select(line.alias("value")).write.text(path)
     lines = text.read_text_log(spark, path)
+    # Files are named in range order: a line's place in the log is its place after the files before.
+    before = Window.orderBy("stream_name").rowsBetween(Window.unboundedPreceding, -1)
+    files = lines.groupBy("stream_name").agg(F.count(F.lit(1)).alias("n"))
+    files = files.withColumn("base", F.coalesce(F.sum("n").over(before), F.lit(0))).drop("n")
     head = F.substring("message", 1, 23)
-    return lines.select(
-        parse_local(head, zone, PATTERN).alias("ts_ms"), F.expr("substring(message, 25)").alias("message")
+    return lines.join(files, "stream_name").select(
+        (F.col("base") + F.col("seq")).alias("place"),
+        parse_local(head, zone, PATTERN).alias("ts_ms"),
+        F.expr("substring(message, 25)").alias("message"),
     )
 
 
@@ -156,8 +160,11 @@ def query_table_join(spark, sf):
 
 @registered
 def query_table_slices(spark, sf):
+    """A log with repeated rows: each stays a row of its own, for few queries and for many."""
     events, queries = views.log_events(spark, sf), views.query_table(spark, sf)
-    return search.search_query_table(events, queries, slice_size=32)
+    twice = events.unionByName(events.filter(F.col("seq") % 7 == 0))
+    few = search.search_query_table(twice, queries.filter("idx < 9"))
+    return search.search_query_table(twice, queries).unionByName(few)
 
 
 @registered
@@ -399,6 +406,75 @@ def search_encoded_docs(spark, sf):
     return pruned.search_log(spark, path, [WildcardQuery("*THE*of*", False), WildcardQuery("*1?3*")])
 
 
+@registered
+def search_encoded_edges(spark, sf):
+    """Times at every edge, also ones that no calendar holds; the reader is in another zone."""
+    edges = [-1, 0, 1, 253402300800000, S.MAX_TS - 1, S.MAX_TS]
+    at = F.element_at(F.array(*[F.lit(e) for e in edges]), (F.col("seq") % 12 + 1).cast("int"))
+    events = views.log_events(spark, sf).withColumn("ts_ms", F.when(F.col("seq") % 12 < 6, at).otherwise(F.col("ts_ms")))
+    path = scratch_path(spark, "encoded-edges")
+    log_tables.write_log(events, path, width=8)
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Toronto")
+    try:
+        return pruned.search_log(spark, path, ["*error*"])
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+@registered
+def stream_status_stored(spark, sf):
+    """Dense event streams in two chunks; one in five streams is closed later, one in seven lacks a row."""
+    events = views.log_events(spark, sf)
+    dense = events.withColumn("seq", F.row_number().over(Window.partitionBy("stream_id").orderBy("seq")).cast("bigint") - 1)
+    path = scratch_path(spark, "status")
+    whole = dense.filter((F.col("stream_id") % 7 != 0) | (F.col("seq") != 1))
+    log_tables.write_log(whole.filter("seq < 4"), path, chunk=0, closed=False)
+    log_tables.write_log(whole.filter("seq >= 4 and stream_id % 5 <> 0"), path, chunk=1, closed=True)
+    fifth = whole.filter("stream_id % 5 = 0").select("stream_id")
+    log_tables.close_log(spark, path, fifth.filter("stream_id % 2 = 0"))
+    stored = log_tables.read_log(spark, path)
+    return quality.stream_status(stored, log_tables.stream_ends(spark, path))
+
+
+@registered
+def search_outcome_all_streams(spark, sf):
+    """As ``search_outcome``, with streams that hold no event: one closed, one not."""
+    events = views.log_events(spark, sf)
+    named = events.select("stream_id", F.lit(True).alias("closed")).distinct()
+    empty = events.agg(F.max("stream_id").alias("top")).select(F.explode(F.expr("array(struct(top + 1 as stream_id, true as closed), struct(top + 2 as stream_id, false as closed))")).alias("s")).select("s.*")
+    return quality.search_outcome(events, ["*error*code1? *"], LOWER, UPPER, named.unionByName(empty))
+
+
+@registered
+def wildcard_nocase_unicode(spark, sf):
+    """Every message of a log with letters of odd case matches itself and its capitals without case."""
+    odd = F.element_at(F.array(*[F.lit(x) for x in ("ΟΔΟΣ", "οδος", "xΣ", "straße", "Ärger", "ÉCOLE")]), (F.col("seq") % 6 + 1).cast("int"))
+    events = views.log_docs(spark, sf).withColumn("message", F.concat(odd, F.lit(" "), F.substring("message", 1, 20)))
+    return search.search(events, [WildcardQuery(q, False) for q in ("*ΟΔΟΣ*", "Xς*", "*STRAßE*", "ärger*", "école *")])
+
+
+@registered
+def local_time_zones(spark, sf):
+    """Short zone names and offsets next to regional and unknown ones."""
+    zones = F.array(*[F.lit(z) for z in ("CET", "+05:30", "Japan", "America/Toronto", "Mars/Olympus", "")])
+    events = views.log_events(spark, sf).withColumn("tz_id", F.element_at(zones, (F.col("stream_id") % 6 + 1).cast("int")))
+    return events.select(
+        *S.EVENT_KEY, "tz_id", usable_zone(F.col("tz_id")).alias("zone"), render_local(F.col("ts_ms"), F.col("tz_id"), PATTERN).alias("local_time")
+    )
+
+
+@registered
+def codec_errors(spark, sf):
+    """Null messages and damaged rows keep their place and carry a status."""
+    events = views.log_conv(spark, sf)
+    damaged = events.withColumn("message", F.when(F.col("seq") % 3 != 1, F.col("message")))
+    encoded = encoding.encode_log(damaged)
+    broken = encoded.withColumn("logtype", F.when(F.col("seq") % 3 == 2, F.concat("logtype", F.lit("<i>"))).otherwise(F.col("logtype")))
+    decoded = encoding.decode_log(broken.drop("status"))
+    return decoded.join(encoded.select(*S.EVENT_KEY, F.col("status").alias("encode_status")), S.EVENT_KEY).select(*S.EVENT_KEY, "encode_status", "status")
+
+
 # --- streaming ---------------------------------------------------------------------
 
 

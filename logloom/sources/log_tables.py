@@ -3,7 +3,7 @@
 Below one path lie three Parquet tables, each cut into ``chunk=<n>`` folders:
 
 * ``events``    rows with ``logtype_id``, ``vars`` and ``ts_ms`` (width 8) or
-  ``ts_delta`` (width 4), in ``event_date`` folders, sorted by ``logtype_id``
+  ``ts_delta`` (width 4), in ``event_day`` folders (days since the epoch in UTC, for any time), sorted by ``logtype_id``
 * ``logtypes``  the log types first seen in that chunk; ids go on across chunks
 * ``streams``   one row per stream of the chunk with its header fields
 
@@ -16,7 +16,8 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -31,6 +32,7 @@ from logloom.plans.ordered import running_sum
 TASK_BYTES = 512 * 1024 * 1024
 _SMALL_TASK_BYTES = 4 * 1024 * 1024
 _ROW_BYTES = 32
+DAY_MS = 86_400_000
 
 LOGTYPE_SCHEMA = "logtype_id bigint, logtype string, chunk bigint"
 STREAM_SCHEMA = (
@@ -46,11 +48,16 @@ EVENT_SCHEMA = T.StructType(
         T.StructField("logtype_id", T.LongType()),
         T.StructField("vars", T.ArrayType(S.VAR)),
         T.StructField("chunk", T.LongType()),
-        T.StructField("event_date", T.DateType()),
+        T.StructField("event_day", T.LongType()),
     ]
 )
 
 
+def day_of(ts_ms: Column) -> Column:
+    """Whole days since the epoch, rounded down; plain integers, so every time has one."""
+    return F.floor((ts_ms - F.pmod(ts_ms % DAY_MS, F.lit(DAY_MS))) / DAY_MS).cast("bigint")
+
+
 def read_logtypes(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(LOGTYPE_SCHEMA).option("basePath", f"{path}/logtypes").parquet(f"{path}/logtypes")
 
@@ -74,12 +81,15 @@ def write_log(
     compression: str = "zstd",
     chunk: int = 0,
     closed: bool = True,
+    streams: DataFrame | None = None,
 ) -> None:
     """Encode ``events`` and store them as one chunk.
 
     Defaults follow a plain writer: 4-byte encoding, the session's time zone, no
     pattern. The reference timestamp of a stream defaults to its first time in the
-    chunk, so equal input gives equal tables.
+    chunk, so equal input gives equal tables. ``streams (stream_id, ts_pattern,
+    ts_pattern_syntax, tz_id)`` gives streams headers of their own; the arguments hold for
+    the others.
     """
     spark = events.sparkSession
     zone = tz_id if tz_id is not None else spark.conf.get("spark.sql.session.timeZone")
@@ -103,11 +113,16 @@ def write_log(
         headers = headers.join(references.select("stream_id", "reference_ts"), "stream_id", "left")
     else:
         headers = headers.withColumn("reference_ts", F.col("first_ts"))
+    named = ["ts_pattern", "ts_pattern_syntax", "tz_id"]
+    if streams is not None:
+        headers = headers.join(streams.select("stream_id", *named), "stream_id", "left")
+    else:
+        headers = headers.withColumns({c: F.lit(None).cast("string") for c in named})
     headers.select(
         "stream_id",
-        F.lit(ts_pattern).alias("ts_pattern"),
-        F.lit(ts_pattern_syntax).alias("ts_pattern_syntax"),
-        F.lit(zone).alias("tz_id"),
+        F.coalesce("ts_pattern", F.lit(ts_pattern)).alias("ts_pattern"),
+        F.coalesce("ts_pattern_syntax", F.lit(ts_pattern_syntax)).alias("ts_pattern_syntax"),
+        F.coalesce("tz_id", F.lit(zone)).alias("tz_id"),
         F.coalesce("reference_ts", F.lit(0)).cast("bigint").alias("reference_ts"),
         F.lit(width).cast("int").alias("width"),
         F.lit(closed).alias("closed"),
@@ -115,21 +130,21 @@ def write_log(
         F.coalesce("n_bytes", F.lit(0)).cast("bigint").alias("n_bytes"),
     ).write.mode("overwrite").option("compression", compression).parquet(f"{path}/streams/chunk={chunk}")
 
-    dated = staged.drop("n_bytes").withColumn("event_date", F.to_date(F.timestamp_millis("ts_ms")))
+    dated = staged.drop("n_bytes").withColumn("event_day", day_of(F.col("ts_ms")))
     rows, _ = with_logtype_ids(dated, dictionary)
     if width == 4:
         rows = delta_encode(rows, references).withColumn("ts_ms", F.lit(None).cast("bigint"))
     else:
         rows = rows.withColumn("ts_delta", F.lit(None).cast("bigint"))
     # The event key ends the range key, so even one hot log type spreads over tasks.
-    layout = ["event_date", "logtype_id", "stream_id", "seq"]
+    layout = ["event_day", "logtype_id", "stream_id", "seq"]
     (
-        rows.select("stream_id", "seq", "ts_ms", "ts_delta", "logtype_id", "vars", "event_date")
+        rows.select("stream_id", "seq", "ts_ms", "ts_delta", "logtype_id", "vars", "event_day")
         .repartitionByRange(_write_tasks(spark, path, chunk), *layout)
         .sortWithinPartitions(*layout)
         .write.mode("overwrite")
         .option("compression", compression)
-        .partitionBy("event_date")
+        .partitionBy("event_day")
         .parquet(f"{path}/events/chunk={chunk}")
     )
     # Frees the staged files.
@@ -154,20 +169,40 @@ def _write_new_logtypes(spark: SparkSession, encoded: DataFrame, path: str, chun
         start = 0 if top is None else top + 1
         found = found.join(known.select("logtype"), "logtype", "left_anti")
     (
-        with_dense_id(found, "logtype", "logtype_id", start)
+        with_dense_id(found, "logtype", "logtype_id", start, by_hash=True)
         .write.mode("overwrite")
         .option("compression", compression)
         .parquet(f"{path}/logtypes/chunk={chunk}")
     )
 
 
+def close_log(spark: SparkSession, path: str, streams: DataFrame | None = None) -> None:
+    """Close all streams of a log, or those of ``streams (stream_id)``, also ones without events.
+
+    Nothing that is stored changes; the closed ids are added below ``closed``.
+    """
+    ids = read_streams(spark, path) if streams is None else streams
+    ids.select("stream_id").distinct().write.mode("append").parquet(f"{path}/closed")
+
+
+def stream_ends(spark: SparkSession, path: str) -> DataFrame:
+    """``(stream_id, closed)`` of a stored log: closed by its newest chunk or by :func:`close_log`."""
+    by_chunk = read_streams(spark, path).groupBy("stream_id").agg(F.max_by("closed", "chunk").alias("closed"))
+    try:
+        ids = spark.read.schema("stream_id bigint").parquet(f"{path}/closed")
+    except AnalysisException:  # never closed on its own
+        return by_chunk
+    both = by_chunk.unionByName(ids.select("stream_id", F.lit(True).alias("closed")))
+    return both.groupBy("stream_id").agg(F.max("closed").alias("closed"))
+
+
 def restore_timestamps(rows: DataFrame, streams: DataFrame) -> DataFrame:
     """Fill ``ts_ms`` of delta-coded rows; each chunk starts from its own reference."""
     keys = ["chunk", "stream_id"]
     absolute = rows.filter(F.col("ts_delta").isNull()).drop("ts_delta")
     coded = running_sum(rows.filter(F.col("ts_delta").isNotNull()), "ts_delta", "_sum", stream=keys)
     side = streams.filter(F.col("width") == 4).select(*keys, "reference_ts")
-    summed = attach(coded, side, keys, "left", salt_from=["seq"])
+    summed = attach(coded, side, keys, "left")
     restored = summed.withColumn("ts_ms", F.col("reference_ts") + F.col("_sum")).drop(
         "_sum", "reference_ts", "ts_delta"
     )
@@ -176,7 +211,7 @@ def restore_timestamps(rows: DataFrame, streams: DataFrame) -> DataFrame:
 
 def read_log(spark: SparkSession, path: str) -> DataFrame:
     """All events of a stored log, decoded: ``(stream_id, seq, ts_ms, message, status)``."""
-    rows = read_encoded(spark, path).drop("event_date")
+    rows = read_encoded(spark, path).drop("event_day")
     streams = read_streams(spark, path)
     if not streams.filter(F.col("width") == 4).isEmpty():
         rows = restore_timestamps(rows, streams)

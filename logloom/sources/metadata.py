@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from logloom import schema as S
-from logloom.functions.localtime import is_known_zone, render_local
+from logloom.functions.localtime import FALLBACK_ZONE, is_known_zone, render_in_zone, usable_zone
 from logloom.plans.joins import attach
 
 
@@ -56,11 +56,22 @@ def parse_metadata(raw: DataFrame) -> DataFrame:
 def with_stream_info(events: DataFrame, streams: DataFrame) -> DataFrame:
     """Events with the pattern, syntax and zone of their stream."""
     info = streams.select("stream_id", "ts_pattern", "ts_pattern_syntax", "tz_id")
-    return attach(events, info, ["stream_id"], "left", salt_from=["seq"])
+    return attach(events, info, ["stream_id"], "left")
 
 
 def with_local_time(events: DataFrame, streams: DataFrame, known_patterns: Sequence[str] = ()) -> DataFrame:
     """Add ``local_time`` and ``zone_known`` by each stream's pattern and zone."""
-    joined = with_stream_info(events, streams)
-    local = render_local(F.col("ts_ms"), F.col("tz_id"), F.col("ts_pattern"), known_patterns)
-    return joined.withColumn("local_time", local).withColumn("zone_known", is_known_zone(F.col("tz_id")))
+    # Zone and pattern are settled once per stream, not per event.
+    info = streams.select(
+        "stream_id",
+        "ts_pattern",
+        "ts_pattern_syntax",
+        "tz_id",
+        usable_zone(F.col("tz_id")).alias("_zone"),
+        is_known_zone(F.col("tz_id")).alias("_known"),
+    )
+    joined = attach(events, info, ["stream_id"], "left")
+    zone = F.coalesce("_zone", F.lit(FALLBACK_ZONE))
+    local = render_in_zone(F.col("ts_ms"), zone, F.col("ts_pattern"), known_patterns)
+    named = joined.withColumn("local_time", local).withColumn("zone_known", F.coalesce("_known", F.lit(False)))
+    return named.drop("_zone", "_known")

@@ -6,9 +6,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from logloom.plans.joins import attach
+
 
 def _number_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Add the line's place within its file split; splits arrive one after the other."""
@@ -37,22 +39,23 @@ def _number_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 def read_text_log(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """``(stream_id, stream_name, seq, message)`` from plain or compressed text files.
 
-    Each file is one stream. ``seq`` grows along the file but has gaps: a line gets the
-    start of its file split plus its place in the split, and a split of n bytes holds
-    no more than n lines beyond its first. So no shuffle and no second pass is needed,
-    however large one file is.
+    Each file is one stream; ``seq`` is the line's place in the file, from 0 without gaps, however
+    the file was split for reading. A first pass counts the lines of each split; their running sum per
+    file, one row per split, gives the place of the split's first line. No line is shuffled unless there
+    are more splits than may be broadcast.
     """
     lines = spark.read.text(path).select(
         F.col("_metadata.file_path").alias("path"),
         F.col("_metadata.file_block_start").alias("block_start"),
         F.col("value").alias("message"),
     )
+    before = Window.partitionBy("path").orderBy("block_start").rowsBetween(Window.unboundedPreceding, -1)
+    splits = lines.groupBy("path", "block_start").agg(F.count(F.lit(1)).alias("n_lines"))
+    splits = splits.withColumn("offset", F.coalesce(F.sum("n_lines").over(before), F.lit(0))).drop("n_lines")
     numbered = lines.mapInArrow(_number_lines, "path string, block_start bigint, place bigint, message string")
-    # A later split starts behind the line that crosses its first byte.
-    offset = F.col("block_start") + F.when(F.col("block_start") > 0, 1).otherwise(0)
-    return numbered.select(
+    return attach(numbered, splits, ["path", "block_start"]).select(
         F.xxhash64("path").alias("stream_id"),
         F.col("path").alias("stream_name"),
-        (offset + F.col("place")).cast("bigint").alias("seq"),
+        (F.col("offset") + F.col("place")).cast("bigint").alias("seq"),
         "message",
     )

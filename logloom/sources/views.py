@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from logloom.plans.dense import with_dense_id
 
-# Factors that scramble event order while keeping positions unique.
-_SCRAMBLE, _MODULUS = 7919, 1000003
+# An odd factor permutes the places inside each block of ids, at every size.
+_SCRAMBLE, _BLOCK = 7919, 1024
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -44,10 +44,11 @@ def log_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def log_disordered(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same events in eight streams with scrambled order."""
+    """The same events in eight streams; within blocks of ids the order is scrambled."""
+    place = F.col("event_id") % _BLOCK
     return _table(spark, sf_dir, "events").select(
         (F.col("user_id") % 8).alias("stream_id"),
-        ((F.col("event_id") * _SCRAMBLE) % _MODULUS).alias("seq"),
+        (F.col("event_id") - place + place * _SCRAMBLE % _BLOCK).alias("seq"),
         _event_ts().alias("ts_ms"),
         _event_message().alias("message"),
     )

@@ -74,7 +74,7 @@ def start_restore(
             # State and references are cut down to the streams that arrived.
             present = batch.select("stream_id").distinct()
             known = materialize(state.before(epoch).join(present, "stream_id", "left_semi"))
-            joined = attach_materialized(batch, known, ["stream_id"], "left", salt_from=["seq"])
+            joined = attach_materialized(batch, known, ["stream_id"], "left")
             is_late = F.col("last_seq").isNotNull() & (F.col("seq") <= F.col("last_seq"))
             late = joined.filter(is_late).select(*batch.columns)
             late.write.mode("overwrite").parquet(f"{out}/late/epoch={epoch}")
@@ -119,7 +119,7 @@ def start_early_stop_search(
             cutoffs = state.before(epoch).unionByName(found).groupBy("stream_id").agg(
                 (-F.max("neg_cut_seq")).alias("cut_seq")
             )
-            hits = attach(search(batch, queries, lower, upper), cutoffs, ["stream_id"], "left", salt_from=["seq"])
+            hits = attach(search(batch, queries, lower, upper), cutoffs, ["stream_id"], "left")
             open_rows = hits.filter(F.col("cut_seq").isNull() | (F.col("seq") < F.col("cut_seq"))).drop("cut_seq")
             open_rows.write.mode("overwrite").parquet(f"{out}/events/epoch={epoch}")
         finally:

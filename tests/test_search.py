@@ -80,17 +80,32 @@ def test_next_where_takes_columns_and_functions(make_events):
     assert seqs(cursor.next_where(events, lambda ts, msg: ts > 4)) == [5]
 
 
-@pytest.mark.parametrize("slice_size", [1, 3, 100])
-def test_query_table_slices(spark, make_events, slice_size):
+@pytest.mark.parametrize("more", [0, 30])
+def test_query_tables_of_any_length(spark, make_events, more):
     events = make_events([(0, i, i, f"a{i % 5}b{i % 3}") for i in range(30)] + [(0, 99, 1, None)])
     queries = [(3, "*A4*", True), (5, "*B1", False), (8, "a?b*", True), (9, "*", True), (11, "a2*", True)]
+    queries += [(100 + i, f"*none{i}?x*", i % 2 == 0) for i in range(more)]
     table = spark.createDataFrame(queries, "idx int, query string, case_sensitive boolean")
-    got = search.search_query_table(events, table, slice_size=slice_size)
+    got = search.search_query_table(events, table)
     want = search.search(events, [WildcardQuery(q, c) for _, q, c in queries])
     places = {i: q[0] for i, q in enumerate(queries)}
     assert {r.seq: r.idx for r in got.collect()} == {r.seq: places[r.idx] for r in want.collect()}
 
 
+def test_query_table_needs_unique_places(spark, make_events):
+    for rows in ([(1, "a", True), (1, "b", True)], [(None, "a", True)]):
+        table = spark.createDataFrame(rows, "idx int, query string, case_sensitive boolean")
+        with pytest.raises(ValueError):
+            search.search_query_table(make_events(EDGE), table)
+
+
+def test_equal_event_rows_stay_apart(spark, make_events):
+    events = make_events([(0, 1, 5, "x a"), (0, 1, 5, "x a"), (0, 2, 6, "x b")])
+    for n in (2, 40):
+        table = spark.createDataFrame([(i, "x*" if i == 0 else f"no{i}", True) for i in range(n)], "idx int, query string, case_sensitive boolean")
+        assert search.search_query_table(events, table).count() == 3
+
+
 def test_empty_query_table_matches_all(spark, make_events):
     table = spark.createDataFrame([], "idx int, query string, case_sensitive boolean")
     assert seqs(search.search_query_table(make_events(EDGE), table, 0, 100)) == [1, 2]

@@ -75,7 +75,8 @@ def test_text_lines_keep_their_order(spark):
     assert files["a.log"] == files["b.log"] == want
     assert files["c.log.gz"] == [str(i) for i in range(1, 2000)]
     assert files["d.log"] == [""] * 20000
-    assert len({(r.stream_id, r.seq) for r in rows}) == len(rows)
+    for name in files:
+        assert sorted(r.seq for r in rows if r.stream_name.endswith("/" + name)) == list(range(len(files[name])))
 
 
 @pytest.mark.parametrize("width", [4, 8])
@@ -118,3 +119,35 @@ def test_stream_status(spark, make_events):
         1: (2, S.SUCCESS), 2: (2, S.CORRUPTED_IR), 3: (1, S.INCOMPLETE_IR), 4: (0, S.INCOMPLETE_IR),
         5: (1, S.ENCODE_ERROR), 6: (0, S.SUCCESS),
     }
+
+
+def test_repeats_do_not_hide_gaps_and_orphans_are_reported(spark, make_events):
+    rows = [(1, 0, 0, "a"), (1, 0, 0, "a"), (1, 2, 0, "b"), (9, 0, 0, "x")]
+    table = spark.createDataFrame([(1, True)], "stream_id long, closed boolean")
+    got = {r.stream_id: r.status for r in quality.stream_status(make_events(rows), table).collect()}
+    assert got == {1: S.CORRUPTED_IR, 9: S.INCOMPLETE_IR}
+
+
+def test_streams_have_headers_of_their_own(spark, make_events):
+    path = scratch_path(spark, "headers")
+    heads = spark.createDataFrame([(1, "HH:mm", "java", "Asia/Kolkata")], "stream_id long, ts_pattern string, ts_pattern_syntax string, tz_id string")
+    write_log(make_events([(1, 0, REF, "a"), (2, 0, REF, "b")]), path, tz_id="UTC", streams=heads)
+    got = {r.stream_id: (r.ts_pattern, r.ts_pattern_syntax, r.tz_id) for r in read_streams(spark, path).collect()}
+    assert got == {1: ("HH:mm", "java", "Asia/Kolkata"), 2: ("", "", "UTC")}
+
+
+def test_only_named_queries_return_nothing(spark, sf_dir):
+    from logloom.registry import QUERIES
+
+    for name in ("time_interval_early_stop", "stream_early_stop", "search_encoded_edges", "wildcard_nocase_unicode"):
+        assert not QUERIES[name](spark, sf_dir).isEmpty(), name
+
+
+def test_long_templates_do_not_pass_through_the_driver(spark):
+    from pyspark.sql import functions as F
+
+    from logloom.plans.dense import with_dense_id
+
+    long = spark.range(300).select(F.concat(F.col("id").cast("string"), F.repeat(F.lit("x"), 40_000)).alias("v"))
+    ids = with_dense_id(long, "v", "id", by_hash=True)
+    assert sorted(r.id for r in ids.select("id").collect()) == list(range(300))
