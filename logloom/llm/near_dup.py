@@ -3,17 +3,20 @@
 A document's set holds the hashes of its distinct word shingles. The global order of n-grams is
 their hash order; it is cut into fragments (``n_fragments`` grows with the text), and every
 document sends each fragment its part of the set. A fragment holds all occurrences of its
-n-grams, so it knows their exact document frequency and drops those that occur once: they cannot
-overlap with anything. Sets with more than ``1 - similarity`` of their n-grams unique cannot be
-similar to any other and are gone after this step.
+n-grams, so it knows their exact document frequency. N-grams that occur once overlap with nothing:
+sets with more than ``1 - similarity`` of their n-grams unique cannot be similar to any other. The
+first fragments, ``FIRST`` of the order, already show this for most sets, which are then gone; only
+the rest send all fragments, and n-grams that occur once among them are dropped.
 
 Candidates: with unique n-grams first, then by ``(frequency, hash)``, two similar sets share one of
 the first ``n - ceil(similarity * n) + 1`` n-grams of each. Only pairs of a set and the leader of
-such an n-gram (the smallest member) are compared first: overlaps are counted per fragment and
-summed per pair, exactly. Linked sets are joined into components; then only sets of *different*
-components that share such an n-gram are compared, unless the triangle inequality of the Jaccard
-distance through their leader proves that they are not similar. So a group of copies costs its size,
-not its square, and no link between different components is lost.
+such an n-gram are compared first: overlaps are counted per fragment and
+summed per pair, exactly. The leader is the member whose n-grams are the most frequent on average,
+so of edited copies it is the one they were made from. Linked sets are joined into components; then
+only sets of *different* components that share such an n-gram are compared, unless their numbers of
+shared n-grams, or the triangle inequality of the Jaccard distance through their leader, prove that they
+are not similar. So a group of copies costs its size, not its square, and no link between different
+components is lost.
 
 Sets are named by a 64-bit hash of their content; documents with equal sets are one set. No step
 gathers documents, links or components on the driver.
@@ -27,6 +30,7 @@ columns are ignored. Hashes have 64 bits: a pair of different shingles agrees wi
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,10 +40,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from logloom.llm.common import LOWER, UPPER, stored
+from logloom.plans.joins import attach
 
 SHINGLE = 5
 SIMILARITY = 80
-FRAGMENT_BYTES = 12 << 20
+FRAGMENT_BYTES = 32 << 20
+#: Share of the global order that is looked at first.
+FIRST = 5 / 16
+#: Fragments in which the overlaps of candidate pairs are counted.
+PARTS = 8
 _WORDS = 200_000
 _MULT = np.uint64(0x9E3779B97F4A7C15)
 _LOWER = bytes.maketrans(UPPER.encode(), LOWER.encode())
@@ -96,12 +105,14 @@ def set_members(docs: DataFrame, id_col: str, text_col: str, n: int) -> DataFram
     return rows.mapInArrow(work, "doc_id long, text_key long, key long, n long")
 
 
-def _fragments(docs: DataFrame, text_col: str, n: int, n_fragments: int) -> DataFrame:
-    """``fragment, key, n, part``: the n-grams of a set that fall into a fragment, eight bytes each."""
+def _fragments(docs: DataFrame, text_col: str, n: int, n_fragments: int, share: float = 1.0) -> DataFrame:
+    """``fragment, key, n, part``: the n-grams of a set in each fragment of the first ``share`` of the order,
+    eight bytes each."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler(n)
-        bounds = np.array([(i << 64) // n_fragments for i in range(1, n_fragments)], np.uint64)
+        top = min(int(share * (1 << 64)), (1 << 64) - 1)
+        bounds = np.array([top * i // n_fragments for i in range(1, n_fragments)], np.uint64)
         for batch in batches:
             cells: list[list] = [[], [], [], []]
             size = 0
@@ -110,7 +121,8 @@ def _fragments(docs: DataFrame, text_col: str, n: int, n_fragments: int) -> Data
                 if not len(hashes):
                     continue
                 key = _set_key(hashes)
-                cuts = np.concatenate(([0], np.searchsorted(hashes, bounds), [len(hashes)]))
+                end = len(hashes) if share >= 1 else int(np.searchsorted(hashes, np.uint64(top)))
+                cuts = np.concatenate(([0], np.searchsorted(hashes[:end], bounds), [end]))
                 full = np.flatnonzero(np.diff(cuts))
                 data = hashes.tobytes()
                 cells[0] += full.tolist()
@@ -131,29 +143,40 @@ def _fragments(docs: DataFrame, text_col: str, n: int, n_fragments: int) -> Data
     return docs.select(text_col).mapInArrow(work, "fragment long, key long, n long, part binary")
 
 
-def _shared_parts(table: pa.Table) -> pa.Table:
-    """Of one fragment: per set, its n-grams that other sets have too, with their frequency."""
+def _fragment_grams(table: pa.Table) -> tuple[np.ndarray, ...]:
+    """Of one fragment: distinct sets with their sizes, and owner, n-gram and frequency of each entry."""
     keys = table["key"].to_numpy()
     parts = table["part"].to_pylist()
     distinct, first = np.unique(keys, return_index=True)  # rows of equal sets are equal
     lengths = np.array([len(parts[i]) // 8 for i in first], np.int64)
-    owner = np.repeat(np.arange(len(distinct)), lengths)
+    owner = np.repeat(np.arange(len(distinct), dtype=np.int32), lengths)
     grams = np.frombuffer(b"".join([parts[i] for i in first]), np.uint64)
+    del parts
     order = np.argsort(grams, kind="stable")
     owner, grams = owner[order], grams[order]
     starts = np.flatnonzero(np.concatenate(([True], grams[1:] != grams[:-1]))) if len(grams) else np.empty(0, np.int64)
     counts = np.diff(np.append(starts, len(grams)))
-    frequency = np.repeat(counts, counts)
+    return distinct, table["n"].to_numpy()[first], owner, grams, np.repeat(counts, counts)
+
+
+def _unique_counts(table: pa.Table) -> pa.Table:
+    """Of one fragment: per set, how many of its n-grams no other set has."""
+    distinct, sizes, owner, _, frequency = _fragment_grams(table)
+    unique = np.bincount(owner[frequency == 1], minlength=len(distinct))
+    return pa.table({"key": pa.array(distinct, pa.int64()), "n": pa.array(sizes, pa.int64()), "alone": pa.array(unique, pa.int64())})
+
+
+def _shared_parts(table: pa.Table) -> pa.Table:
+    """Of one fragment: per set, its n-grams that other sets have too, with their frequency."""
+    distinct, sizes, owner, grams, frequency = _fragment_grams(table)
     shared = frequency > 1
     owner, grams, frequency = owner[shared], grams[shared], frequency[shared]
     order = np.argsort(owner, kind="stable")
     owner, grams, frequency = owner[order], grams[order], frequency[order].astype(np.int32)
     have, at = np.unique(owner, return_index=True)
-    sizes = table["n"].to_numpy()[first]
     offsets = pa.array(np.append(at, len(owner)), pa.int32())
     return pa.table(
         {
-            "fragment": pa.array(np.full(len(have), table["fragment"][0].as_py()), pa.int64()),
             "key": pa.array(distinct[have], pa.int64()),
             "n": pa.array(sizes[have], pa.int64()),
             "grams": pa.ListArray.from_arrays(offsets, pa.array(grams.view(np.int64))),
@@ -168,30 +191,54 @@ def least_overlap(n: Column, similarity: int) -> Column:
 
 
 def _prefixes(survivors: DataFrame, similarity: int) -> DataFrame:
-    """``key, n, gram``: the shared n-grams among the first ``n - least_overlap + 1`` of each set."""
+    """``key, n, shared, weight, gram``: the shared n-grams among the first ``n - least_overlap + 1`` of each
+    set; ``weight`` is the mean frequency of all its n-grams."""
+    names = ["key", "n", "shared", "weight", "gram"]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys, sizes, out = [], [], []
+            rows, out, lengths = [], [], []
             for i, (key, n, shared) in enumerate(zip(*[c.to_pylist() for c in batch.columns[:3]], strict=True)):
                 grams, frequency = (batch.column(c)[i].values.flatten().to_numpy() for c in (3, 4))
                 wanted = n - (n * similarity + 99) // 100 + 1 - (n - shared)
                 some = np.lexsort((grams, frequency))[:wanted]
-                keys += [key] * len(some)
-                sizes += [n] * len(some)
+                rows.append((key, n, shared, (int(frequency.sum()) + n - shared) / n))
+                lengths.append(len(some))
                 out.append(grams[some])
-            found = np.concatenate(out) if out else np.empty(0, np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(sizes, pa.int64()), pa.array(found)], ["key", "n", "gram"])
+            if rows:
+                kinds = np.int64, np.int64, np.int64, np.float64
+                columns = [pa.array(np.repeat(np.array(c, k), lengths)) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)]
+                yield pa.RecordBatch.from_arrays([*columns, pa.array(np.concatenate(out))], names)
 
     picked = survivors.select("key", "n", "shared", "grams", "frequency")
-    return picked.mapInArrow(work, "key long, n long, gram long")
+    return picked.mapInArrow(work, "key long, n long, shared long, weight double, gram long")
+
+
+def _parts(survivors: DataFrame) -> DataFrame:
+    """``key, part, list``: the shared n-grams of a set, cut at fixed places of the global order."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys, places, lists = [], [], []
+            for i, key in enumerate(batch.column(0).to_pylist()):
+                grams = batch.column(1)[i].values.flatten().to_numpy()
+                part = (grams.view(np.uint64) >> np.uint64(61)).astype(np.int64) * PARTS // 8
+                for p in np.unique(part):
+                    keys.append(key)
+                    places.append(int(p))
+                    lists.append(grams[part == p])
+            kinds = pa.int64(), pa.int64(), pa.list_(pa.int64())
+            arrays = [pa.array(c, k) for c, k in zip((keys, places, lists), kinds, strict=True)]
+            yield pa.RecordBatch.from_arrays(arrays, ["key", "part", "list"])
+
+    return survivors.select("key", "grams").mapInArrow(work, "key long, part long, list array<long>")
 
 
 def _overlaps(pairs: DataFrame, parts: DataFrame) -> DataFrame:
     """``a, b, common`` of the pairs: partial overlaps per fragment, summed."""
-    left = parts.select(F.col("key").alias("a"), "fragment", F.col("list").alias("in_a"))
-    right = parts.select(F.col("key").alias("b"), "fragment", F.col("list").alias("in_b"))
-    partial = pairs.join(left, "a").join(right, ["b", "fragment"])
+    left = parts.select(F.col("key").alias("a"), "part", F.col("list").alias("in_a"))
+    right = parts.select(F.col("key").alias("b"), "part", F.col("list").alias("in_b"))
+    partial = pairs.join(left, "a").join(right, ["b", "part"])
     return partial.groupBy("a", "b").agg(F.sum(F.size(F.array_intersect("in_a", "in_b"))).alias("common"))
 
 
@@ -232,25 +279,34 @@ def _linked(common: Column, n_a: Column, n_b: Column, similarity: int) -> Column
     return 100 * common >= similarity * (n_a + n_b - common)
 
 
-def set_components(docs: DataFrame, text_col: str, n: int, similarity: int, n_fragments: int) -> DataFrame:
-    """``key, component`` of every set that is linked with another."""
-    fragments = _fragments(docs, text_col, n, n_fragments)
-    schema = "fragment long, key long, n long, grams array<long>, frequency array<int>"
-    shared = fragments.groupBy("fragment").applyInArrow(_shared_parts, schema)
+def _candidates(docs: DataFrame, members: DataFrame, text_col: str, n: int, similarity: int, n_fragments: int) -> DataFrame:
+    """The rows of ``docs`` whose sets may be similar to another, by the first fragments of the order."""
+    first = _fragments(docs, text_col, n, max(1, math.ceil(n_fragments * FIRST)), FIRST)
+    alone = first.groupBy("fragment").applyInArrow(_unique_counts, "key long, n long, alone long")
+    counts = alone.groupBy("key").agg(F.first("n").alias("n"), F.sum("alone").alias("alone"))
+    gone = counts.filter(F.col("n") - F.col("alone") < least_overlap(F.col("n"), similarity)).select("key")
+    left = members.filter("key is not null").join(gone, "key", "left_anti").select("text_key").distinct()
+    # Broadcast up to a measured size, joined by shuffle beyond it.
+    return attach(docs.select(F.xxhash64(text_col).alias("text_key"), text_col), left, ["text_key"], "left_semi")
+
+
+def set_components(docs: DataFrame, members: DataFrame, text_col: str, n: int, similarity: int, n_fragments: int) -> DataFrame:
+    """``key, component`` of every set that is linked with another; ``members`` are the stored sets of ``docs``."""
+    few = _candidates(docs, members, text_col, n, similarity, n_fragments)
+    schema = "key long, n long, grams array<long>, frequency array<int>"
+    shared = _fragments(few, text_col, n, n_fragments).groupBy("fragment").applyInArrow(_shared_parts, schema)
     sets = shared.groupBy("key").agg(
         F.first("n").alias("n"),
         F.sum(F.size("grams")).alias("shared"),
-        F.collect_list("fragment").alias("fragments"),
         F.collect_list("grams").alias("grams"),
         F.collect_list("frequency").alias("frequency"),
     )
     survivors = stored(sets.filter(F.col("shared") >= least_overlap(F.col("n"), similarity)), "near-sets")
     prefixes = stored(_prefixes(survivors, similarity), "near-prefixes")
-    pieces = survivors.select("key", F.explode(F.arrays_zip("fragments", "grams")).alias("x"))
-    parts = stored(pieces.select("key", F.col("x.fragments").alias("fragment"), F.col("x.grams").alias("list")), "near-parts")
+    parts = stored(_parts(survivors), "near-parts")
 
     sizes = survivors.select(F.col("key").alias("k"), F.col("n").alias("size"))
-    leaders = prefixes.groupBy("gram").agg(F.min("key").alias("leader"), F.count(F.lit(1)).alias("members"))
+    leaders = prefixes.groupBy("gram").agg(F.max_by("key", F.struct("weight", "key")).alias("leader"), F.count(F.lit(1)).alias("members"))
     led = stored(prefixes.join(leaders.filter("members > 1"), "gram").drop("members"), "near-led")
     pairs = led.filter("key <> leader").select(F.col("key").alias("a"), F.col("leader").alias("b"), F.col("n").alias("n_a")).distinct()
     sized = pairs.join(sizes.select(F.col("k").alias("b"), F.col("size").alias("n_b")), "b")
@@ -263,7 +319,7 @@ def set_components(docs: DataFrame, text_col: str, n: int, similarity: int, n_fr
     members = (
         led.join(known, ["key", "leader"], "left")
         .join(first, "key", "left")
-        .select("gram", "key", "n", F.coalesce("component", "key").alias("component"), F.coalesce("far", F.lit(0.0)).alias("far"))
+        .select("gram", "key", "n", "shared", F.coalesce("component", "key").alias("component"), F.coalesce("far", F.lit(0.0)).alias("far"))
     )
     members = stored(members, "near-members")
     mixed = members.groupBy("gram").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo <> hi").select("gram")
@@ -272,12 +328,13 @@ def set_components(docs: DataFrame, text_col: str, n: int, similarity: int, n_fr
     per_part = open_.groupBy("gram", "component").agg(F.count(F.lit(1)).alias("m"))
     largest = per_part.groupBy("gram").agg(F.max_by("component", F.struct("m", "component")).alias("main"))
     open_ = stored(open_.join(largest, "gram"), "near-open")
-    x = open_.filter("component <> main").select("gram", *[F.col(c).alias(f"x_{c}") for c in ("key", "n", "component", "far")])
-    y = open_.select("gram", "main", *[F.col(c).alias(f"y_{c}") for c in ("key", "n", "component", "far")])
+    x = open_.filter("component <> main").select("gram", *[F.col(c).alias(f"x_{c}") for c in ("key", "n", "shared", "component", "far")])
+    y = open_.select("gram", "main", *[F.col(c).alias(f"y_{c}") for c in ("key", "n", "shared", "component", "far")])
     may = (
         (F.col("x_component") != F.col("y_component"))
         & ((F.col("y_component") == F.col("main")) | (F.col("x_key") < F.col("y_key")))
         & (100 * F.least("x_n", "y_n") >= similarity * F.greatest("x_n", "y_n"))
+        & _linked(F.least("x_shared", "y_shared"), F.col("x_n"), F.col("y_n"), similarity)
         & (F.abs(F.col("x_far") - F.col("y_far")) <= 1 - similarity / 100 + 1e-9)
     )
     rest = x.join(y, "gram").filter(may)
@@ -305,8 +362,8 @@ def near_duplicates(
     ``keeper`` is true for the row of each component with the smallest id.
     """
     total = docs.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
-    found = set_components(docs, text_col, n, similarity, max(1, -(-total // fragment_bytes)))
     members = stored(set_members(docs, id_col, text_col, n), "near-rows")
+    found = set_components(docs, members, text_col, n, similarity, max(1, -(-total // fragment_bytes)))
     # A row without words is a group of its own; other rows are grouped by their set's component.
     rows = members.join(found, "key", "left").withColumn("group", F.coalesce("component", "key"))
     row = F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id"), F.col("text_key"))
