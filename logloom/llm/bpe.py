@@ -12,8 +12,9 @@ Decoding: ids are cut where a token starts with a space (and after ``SPAN`` toke
 each distinct run is joined with the vocabulary and put together by an ordered aggregation.
 
 There is no shuffle. The vocabulary is the only thing broadcast; its size is that of the file.
-Texts are handled in slices of about ``SLICE`` characters, and what a task remembers of pieces
-and runs is bounded by ``REMEMBER``.
+Texts are handled in slices of about ``SLICE`` characters. A Python worker remembers pieces and runs from
+task to task, at most about ``REMEMBER`` of each; beyond that it forgets the newer half, as frequent ones
+come early.
 
 Cases: a null text counts as empty and has no tokens; strings of special tokens are ordinary text;
 texts of any length are encoded whole; lone surrogates become question marks; unknown ids, and ids of
@@ -24,7 +25,10 @@ rows are independent, and only the columns asked for are kept.
 from __future__ import annotations
 
 import base64
-from collections.abc import Iterable, Iterator
+import hashlib
+import sys
+import types
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 from itertools import islice
 
@@ -38,7 +42,7 @@ from pyspark.sql import types as T
 SHORT = 64
 SPAN = 64
 SLICE = 2_000_000
-REMEMBER = 300_000
+REMEMBER = 500_000
 _PIECES_PER_QUERY = 40_000
 
 _NONE = 2147483647
@@ -97,6 +101,7 @@ class Vocabulary:
     tokens: dict[bytes, int]
     pattern: str
     merges: np.ndarray = field(init=False)
+    key: str = field(init=False)
 
     def __post_init__(self):
         missing = [b for b in range(256) if bytes([b]) not in self.tokens]
@@ -110,6 +115,7 @@ class Vocabulary:
             if token[:i] in ranks and token[i:] in ranks
         ]
         self.merges = np.array(pairs, np.int32).reshape(-1, 3)
+        self.key = hashlib.sha256(self.merges.tobytes() + repr((sorted(ranks.items()), self.pattern)).encode()).hexdigest()
 
     @classmethod
     def load(cls, path: str, pattern: str) -> Vocabulary:
@@ -124,6 +130,21 @@ def _connection() -> duckdb.DuckDBPyConnection:
     return con
 
 
+def _trim(known: dict) -> None:
+    if len(known) > REMEMBER:
+        for item in list(known)[REMEMBER // 2 :]:
+            del known[item]
+
+
+def _kept(kind: type, vocabulary: Vocabulary):
+    """The worker's own encoder or decoder, which outlives its tasks."""
+    held = sys.modules.setdefault("logloom_worker", types.ModuleType("logloom_worker")).__dict__
+    name = f"{kind.__name__}-{vocabulary.key}"
+    if name not in held:
+        held[name] = kind(vocabulary)
+    return held[name]
+
+
 def _rows(items: list[bytes], width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Item number, position and value of the fixed-width values in ``items``."""
     lengths = np.array([len(x) // width for x in items], np.int64)
@@ -150,9 +171,9 @@ class Encoder:
         ends = toks.offsets.to_numpy() * 4
         return [values[i:j] for i, j in zip(ends[:-1], ends[1:], strict=True)]
 
-    def learn(self, pieces: Iterable[str]) -> None:
+    def learn(self, pieces: set[str]) -> None:
         """Encode the pieces that are not known yet."""
-        todo = sorted(set(pieces).difference(self.known))
+        todo = list(pieces.difference(self.known))
         for at in range(0, len(todo), _PIECES_PER_QUERY):
             some = todo[at : at + _PIECES_PER_QUERY]
             data = [p.encode("utf-8", "replace") for p in some]
@@ -172,8 +193,7 @@ class Encoder:
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
-        if len(self.known) > REMEMBER:
-            self.known.clear()
+        _trim(self.known)
         out = []
         at = 0
         while at < len(texts):
@@ -184,7 +204,7 @@ class Encoder:
             if end - at == 1:
                 parts = []
                 for pieces in self._pieces(texts[at] or ""):
-                    self.learn(pieces)
+                    self.learn(set(pieces))
                     parts.append(b"".join(map(self.known.__getitem__, pieces)))
                 out.append(b"".join(parts))
             else:
@@ -217,7 +237,7 @@ class Decoder:
         return [data[i:j] for i, j in zip(ends[:-1], ends[1:], strict=True) if j > i]
 
     def learn(self, runs: set[bytes]) -> None:
-        todo = sorted(runs.difference(self.known))
+        todo = list(runs.difference(self.known))
         for at in range(0, len(todo), _PIECES_PER_QUERY):
             some = todo[at : at + _PIECES_PER_QUERY]
             item, place, ids = _rows(some, 4)
@@ -227,8 +247,7 @@ class Decoder:
 
     def decode(self, ids: list[bytes | None]) -> list[bytes | None]:
         """The bytes of each id sequence; null if it holds an id that is no token."""
-        if len(self.known) > REMEMBER:
-            self.known.clear()
+        _trim(self.known)
         runs = [self._runs(x) if x is not None and len(x) % 4 == 0 else None for x in ids]
         self.learn(set().union(*(x for x in runs if x is not None)))
         parts = [None if x is None else list(map(self.known.__getitem__, x)) for x in runs]
@@ -253,8 +272,8 @@ def _run(df: DataFrame, column: str, keep: list[str], vocabulary: Vocabulary, en
     schema = T.StructType([*rows.schema.fields[1:], *out])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(shared.value) if encoding else None
-        decoder = Decoder(shared.value) if decoding else None
+        encoder = _kept(Encoder, shared.value) if encoding else None
+        decoder = _kept(Decoder, shared.value) if decoding else None
         for batch in batches:
             for part in _slices(batch, 0):
                 found, made = part.column(0).to_pylist(), []
