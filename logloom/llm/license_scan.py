@@ -4,7 +4,7 @@ Candidate blocks are the words around a cue such as "license"; overlapping block
 block is compressed alone and with each template as a zstandard raw-content dictionary; the
 template that saves most is the winner, ranked by the bytes saved. A winner counts only if its
 exact wording differs from the block in few words: the template is aligned word by word, and the
-words missing and added are reported.
+words missing and added are reported; a word in place of another is one difference.
 
 Work is per document; no shuffle. Only documents with a cue leave the JVM.
 
@@ -101,11 +101,12 @@ class LicenseScanner:
         first = max(0, lo + same[0].b - same[0].a)
         last = min(len(words), lo + same[-1].b + len(template) - same[-1].a)
         inside = difflib.SequenceMatcher(None, template, words[first:last], autojunk=False)
-        changes = []
+        changes, count = [], 0
         for op, a, b, c, d in inside.get_opcodes():
             if op != "equal":
+                count += max(b - a, d - c)
                 changes += [f"-{w}" for w in template[a:b]] + [f"+{w}" for w in words[first:last][c:d]]
-        return first, last, len(changes), " ".join(changes)
+        return first, last, count, " ".join(changes)
 
     def scan(self, text: str) -> Iterator[dict]:
         for start, end in self.blocks(text):

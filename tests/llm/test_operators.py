@@ -474,7 +474,8 @@ def test_license_scan(spark):
         assert 0 <= r.start < r.end <= len(text)
     for i, name in enumerate(notices):
         assert (name, 0) in got[i], name
-    assert got[100] == [("Apache-2.0", 2)]
+    assert got[100] == [("Apache-2.0", 1)]
+    assert [r.differences for r in found if r.doc_id == 100] == ["-2.0 +2.1"]
     assert not {101, 102, 103, 104} & got.keys()
     assert sorted(got[105]) == [("GPL-3.0", 0), ("MIT", 0)] and ("MIT text", 0) in got[106]
 
