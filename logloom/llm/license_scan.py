@@ -43,7 +43,7 @@ TEMPLATES = {
         'associated documentation files (the "Software"), to deal in the Software without restriction'
     ),
 }
-CUES = r"(?i)licen[cs]e|permission is hereby granted|redistribution and use"
+CUES = r"(?i)licen[cs]e|permission\s+is\s+hereby\s+granted|redistribution\s+and\s+use"
 
 MAX_DIFFERENCES = 0.2
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -72,7 +72,7 @@ class LicenseScanner:
         """Spans of characters: ``reach`` words to either side of each cue, overlapping ones joined."""
         start = end = None
         for cue in re.finditer(CUES, text):
-            at, width = cue.start(), 12 * self.reach
+            at, width = cue.start(), 40 * self.reach
             left = [m.start() + max(0, at - width) for m in _WORD.finditer(text, max(0, at - width), at)][-self.reach :]
             right = [m.end() for m in _WORD.finditer(text, at, min(len(text), cue.end() + width))][: self.reach + 3]
             a = left[0] - max(0, at - width) if left else at

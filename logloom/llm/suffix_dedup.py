@@ -7,8 +7,10 @@ the same text or another; matches never cross texts.
    ``length`` bytes, the leftmost with the smallest hash is its anchor. Equal strings have equal anchors,
    so only strings of the same anchor gram need be compared. The strings that share an anchor form one
    context: the bytes from the first string's start to the last one's end.
-2. One shuffle brings the anchors of a gram together, as two hashes and places. Equal contexts repeat in
-   full. Grams with one context are gone; of the rest, one context of each kind goes on.
+2. Of equal contexts in a batch of texts the first stands for all; the others are known to repeat and are
+   dealt out evenly. So periodic texts, copies and boilerplate are pre-aggregated. One shuffle then brings
+   the anchors of a gram together, as two hashes and places. Equal contexts repeat in full. Grams with one
+   context are gone; of the rest, one context of each kind goes on.
 3. Their bytes are fetched from the texts and, per gram, all strings are put in suffix order. Previous and
    next smaller positions in that order give the longest previous factor of each string, next and previous
    larger ones the longest later factor; both are cut at ``length``.
@@ -90,7 +92,9 @@ class Anchors:
 
 
 def _anchor_rows(texts: DataFrame, length: int, gram: int) -> DataFrame:
-    """``h, c, id, key, x, lo, hi``: gram and context hash, text, anchor, bytes before and string starts after it."""
+    """``h, c, id, key, x, lo, hi, copies``: gram and context hash, text, anchor, bytes before and string starts
+    after it; ``copies`` counts equal contexts of the batch at the first of them and is 0 at the others, whose
+    gram hash only deals them out."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         finder = Anchors(length, gram)
@@ -109,11 +113,19 @@ def _anchor_rows(texts: DataFrame, length: int, gram: int) -> DataFrame:
                 yield out(cells)
 
     def out(cells: list[tuple]) -> pa.RecordBatch:
-        arrays = [np.concatenate(c) for c in zip(*cells, strict=True)]
-        kinds = [pa.int64()] * 5 + [pa.int16()] * 2
-        return pa.RecordBatch.from_arrays([pa.array(a.astype(k.to_pandas_dtype())) for a, k in zip(arrays, kinds, strict=True)], ["h", "c", "id", "key", "x", "lo", "hi"])
+        h, c, id_, key, x, lo, hi = (np.concatenate(a) for a in zip(*cells, strict=True))
+        order = np.lexsort((x, key, id_, c, h))
+        new = np.ones(len(order), bool)
+        new[1:] = (h[order][1:] != h[order][:-1]) | (c[order][1:] != c[order][:-1])
+        first = np.flatnonzero(new)
+        copies = np.zeros(len(order), np.int32)
+        copies[order[first]] = np.diff(np.append(first, len(order)))
+        spread = _mixed((h ^ key ^ (x << 20)).view(np.uint64)).view(np.int64)
+        h = np.where(copies == 0, spread, h)
+        arrays = h, c, id_.astype(np.int64), key, x, lo.astype(np.int16), hi.astype(np.int16), copies
+        return pa.RecordBatch.from_arrays([pa.array(a) for a in arrays], ["h", "c", "id", "key", "x", "lo", "hi", "copies"])
 
-    return texts.select("id", "key", "text").mapInArrow(work, "h long, c long, id long, key long, x long, lo short, hi short")
+    return texts.select("id", "key", "text").mapInArrow(work, "h long, c long, id long, key long, x long, lo short, hi short, copies int")
 
 
 def previous_and_next_factors(positions: list, common: list[int], cut: int) -> tuple[list[int], list[int]]:
@@ -252,17 +264,18 @@ def remove_repeats(
     context, gram_of = Window.partitionBy("h", "c"), Window.partitionBy("h")
     anchors = _anchor_rows(rows, length, gram).repartition(F.col("h"))
     found = (
-        anchors.withColumn("copies", F.count(F.lit(1)).over(context))
+        anchors.withColumn("all", F.sum("copies").over(context))
         .withColumn("rank", F.row_number().over(context.orderBy("id", "key", "x")))
         .withColumn("low", F.min("c").over(gram_of))
         .withColumn("high", F.max("c").over(gram_of))
-        .filter((F.col("copies") > 1) | (F.col("low") < F.col("high")))
+        .filter((F.col("copies") == 0) | (F.col("all") > 1) | (F.col("low") < F.col("high")))
     )
-    wanted = F.col("rank") == 1
+    known = F.col("copies") == 0
+    wanted = (F.col("rank") == 1) & ~known
     # Each kind of use is one row, so that the anchors are shuffled and sorted once.
     uses = F.array_compact(
         F.array(
-            F.when((F.col("copies") > 1) & ((F.col("rank") > 1) | F.lit(not keep_first)), F.lit("covered")),
+            F.when(known | ((F.col("all") > 1) & ((F.col("rank") > 1) | F.lit(not keep_first))), F.lit("covered")),
             F.when(wanted & (F.col("low") < F.col("high")), F.lit("compare")),
         )
     )
