@@ -44,7 +44,7 @@ from logloom.plans.joins import attach
 
 SHINGLE = 5
 SIMILARITY = 80
-FRAGMENT_BYTES = 32 << 20
+FRAGMENT_BYTES = 16 << 20
 #: Share of the global order that is looked at first.
 FIRST = 5 / 16
 #: Fragments in which the overlaps of candidate pairs are counted.

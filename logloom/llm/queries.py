@@ -165,6 +165,30 @@ def op10_ngram_jaccard(spark, sf_dir):
     found = near_dup.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_shingles", "component_id")
 
+
+ORACLE_SQL["op10_ngram_jaccard"] = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, list_filter(string_split_regex(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w
+  FROM documents),
+sets AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) END AS s
+  FROM words),
+grams AS (SELECT doc_id, len(s) AS n, unnest(s) AS g FROM sets),
+links AS (
+  SELECT a.doc_id AS x, b.doc_id AS y FROM grams a JOIN grams b ON a.g = b.g AND a.doc_id <> b.doc_id
+  GROUP BY a.doc_id, b.doc_id
+  HAVING 100 * count(*) >= 80 * (any_value(a.n) + any_value(b.n) - count(*))),
+reach AS (
+  SELECT doc_id AS x, doc_id AS y FROM sets
+  UNION
+  SELECT reach.x, links.y FROM reach JOIN links ON reach.y = links.x)
+SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, component_id
+FROM sets JOIN (SELECT x AS doc_id, min(y) AS component_id FROM reach GROUP BY x) USING (doc_id)
+"""
+
 # --- LM scoring --------------------------------------------------------------------
 
 
