@@ -45,9 +45,26 @@ def shared_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+_scratch: list[str] = []
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh table location below the shared folder."""
-    return f"{shared_dir(spark).rstrip('/')}/logloom-{label}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark).rstrip('/')}/logloom-{label}-{uuid.uuid4().hex}"
+    _scratch.append(path)
+    return path
+
+
+def remove_scratch(spark: SparkSession) -> int:
+    """Delete the scratch tables that this application has made; say how many there were.
+
+    Results that are still lazy read from them: call this when what was asked for is stored.
+    """
+    removed = 0
+    while _scratch:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_scratch.pop())
+        removed += bool(path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True))
+    return removed
 
 
 def materialize(df: DataFrame) -> DataFrame:

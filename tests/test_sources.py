@@ -151,3 +151,14 @@ def test_long_templates_do_not_pass_through_the_driver(spark):
     long = spark.range(300).select(F.concat(F.col("id").cast("string"), F.repeat(F.lit("x"), 40_000)).alias("v"))
     ids = with_dense_id(long, "v", "id", by_hash=True)
     assert sorted(r.id for r in ids.select("id").collect()) == list(range(300))
+
+
+def test_scratch_tables_can_be_removed(spark):
+    from logloom import session
+
+    kept, session._scratch[:] = list(session._scratch), []
+    path = scratch_path(spark, "gone")
+    spark.range(3).write.parquet(path)
+    assert session.remove_scratch(spark) == 1
+    assert not os.path.exists(path.removeprefix("file:"))
+    session._scratch[:] = kept
