@@ -45,6 +45,8 @@ from logloom.plans.joins import attach
 SHINGLE = 5
 SIMILARITY = 80
 FRAGMENT_BYTES = 16 << 20
+#: The same in n-grams, for the sets that are left after the first fragments.
+FRAGMENT_GRAMS = 3_000_000
 #: Share of the global order that is looked at first.
 FIRST = 5 / 16
 #: Fragments in which the overlaps of candidate pairs are counted.
@@ -279,20 +281,25 @@ def _linked(common: Column, n_a: Column, n_b: Column, similarity: int) -> Column
     return 100 * common >= similarity * (n_a + n_b - common)
 
 
-def _candidates(docs: DataFrame, members: DataFrame, text_col: str, n: int, similarity: int, n_fragments: int) -> DataFrame:
-    """The rows of ``docs`` whose sets may be similar to another, by the first fragments of the order."""
+def _candidates(docs: DataFrame, members: DataFrame, text_col: str, n: int, similarity: int, n_fragments: int) -> tuple[DataFrame, int]:
+    """The rows of ``docs`` whose sets may be similar to another, by the first fragments of the order, and the
+    number of their n-grams."""
     first = _fragments(docs, text_col, n, max(1, math.ceil(n_fragments * FIRST)), FIRST)
     alone = first.groupBy("fragment").applyInArrow(_unique_counts, "key long, n long, alone long")
     counts = alone.groupBy("key").agg(F.first("n").alias("n"), F.sum("alone").alias("alone"))
     gone = counts.filter(F.col("n") - F.col("alone") < least_overlap(F.col("n"), similarity)).select("key")
-    left = members.filter("key is not null").join(gone, "key", "left_anti").select("text_key").distinct()
+    left = members.filter("key is not null").join(gone, "key", "left_anti")
+    left = stored(left.groupBy("text_key").agg(F.first("n").alias("n"), F.count(F.lit(1)).alias("rows")), "near-left")
+    n_grams = left.agg(F.sum(F.col("n") * F.col("rows"))).first()[0] or 0
     # Broadcast up to a measured size, joined by shuffle beyond it.
-    return attach(docs.select(F.xxhash64(text_col).alias("text_key"), text_col), left, ["text_key"], "left_semi")
+    rows = docs.select(F.xxhash64(text_col).alias("text_key"), text_col)
+    return attach(rows, left.select("text_key"), ["text_key"], "left_semi"), n_grams
 
 
 def set_components(docs: DataFrame, members: DataFrame, text_col: str, n: int, similarity: int, n_fragments: int) -> DataFrame:
     """``key, component`` of every set that is linked with another; ``members`` are the stored sets of ``docs``."""
-    few = _candidates(docs, members, text_col, n, similarity, n_fragments)
+    few, n_grams = _candidates(docs, members, text_col, n, similarity, n_fragments)
+    n_fragments = max(1, -(-n_grams // FRAGMENT_GRAMS))
     schema = "key long, n long, grams array<long>, frequency array<int>"
     shared = _fragments(few, text_col, n, n_fragments).groupBy("fragment").applyInArrow(_shared_parts, schema)
     sets = shared.groupBy("key").agg(
