@@ -379,6 +379,57 @@ def test_lm_without_training_texts(spark):
     assert [(r.n_known, r.train_tokens) for r in found] == [(0, 0), (0, 0)]
 
 
+def expected_lm_scores(texts, trained):
+    """Scores by direct counting: every (context, token) of training that occurs twice, at all depths."""
+    docs = [[*WORD.findall(lower(x)), "\n"] for x in texts]
+    docs = [[w.encode() for w in d] for d in docs]
+    before = [[b"\n", *[b" " + w for w in d[:-1]]] for d in docs]
+    count = Counter(w for d, t in zip(docs, trained, strict=True) if t for w in d)
+    unknown = (sum(c == 1 for c in count.values()) + 1) / (count.total() + len(count) + 1)
+    pairs, sizes, nodes = [defaultdict(Counter) for _ in range(5)], [Counter() for _ in range(5)], {}
+    for d, b, t in zip(docs, before, trained, strict=True):
+        for w, c in zip(d, b, strict=True) if t else ():
+            for k in range(1, 5):
+                pairs[k][c[-k:].rjust(k, b"\0")][w] += 1
+                sizes[k][c[-k:].rjust(k, b"\0")] += 1
+
+    def p(context, w, depth):
+        if not depth:
+            return (count[w] + 1) * (1 - unknown) / (count.total() + len(count))
+        given = p(context, w, depth - 1)
+        c = context[-depth:].rjust(depth, b"\0")
+        if (depth, c) not in nodes:
+            return given
+        often, rest = nodes[depth, c]
+        return often.get(w, 0) / (sizes[depth][c] + 2) + rest * given
+
+    for k in range(1, 5):
+        for c, follow in pairs[k].items():
+            often = {w: n for w, n in follow.items() if n > 1}
+            other = sizes[k][c] - sum(often.values())
+            rest = (other + 2) / (sizes[k][c] + 2)
+            given = {w: p(c, w, k - 1) for w in often}
+            gain = sum(n * math.log((n / (sizes[k][c] + 2) + rest * given[w]) / given[w]) for w, n in often.items())
+            if often and gain + other * math.log(rest) > len(often) / 2 * math.log(sizes[k][c]):
+                nodes[k, c] = often, rest
+    scores = [sum(math.log10(p(c, w, 4) if count[w] else unknown) for w, c in zip(d, b, strict=True)) for d, b in zip(docs, before, strict=True)]
+    return scores, min(sizes[k][c] for k, c in nodes) / count.total()
+
+
+def test_lm_keeps_every_pair_seen_twice(spark, sf_dir):
+    rows = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect()
+    # Rare words after a rare word.
+    rows = [(r.doc_id, r.text) for r in rows] + [(10**9 + i, f"qqxv mark{i % 3}z qqxv mark{i % 3}z") for i in range(3)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    held = [zlib.crc32(str(r[0]).encode()) % 7 == 2 for r in rows]
+    want, least = expected_lm_scores([r[1] for r in rows], [not h for h in held])
+    assert least < 2.0**-12
+    got = {r.doc_id: r.score for r in suffix_tree_lm.score_texts(df, chunk_bytes=50_000).collect()}
+    assert len(got) == len(rows)
+    for (doc_id, _), score in zip(rows, want, strict=True):
+        assert got[doc_id] == pytest.approx(score, rel=1e-9), doc_id
+
+
 # --- toxicity ----------------------------------------------------------------------
 
 
