@@ -3,8 +3,9 @@
 Candidate blocks are the words around a cue such as "license"; overlapping blocks are one. A
 block is compressed alone and with each template as a zstandard raw-content dictionary; the
 template that saves most is the winner, ranked by the bytes saved. A winner counts only if its
-exact wording differs from the block in few words: the template is aligned word by word, and the
-words missing and added are reported; a word in place of another is one difference.
+exact wording differs from the block in few words, none of them the name, a clause or the version of
+another license: the template is aligned word by word, and the words missing and added are reported; a
+word in place of another is one difference.
 
 Work is per document; no shuffle. Only documents with a cue leave the JVM.
 
@@ -24,27 +25,123 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Wording of common license notices.
+# Whole short license texts and the usual notices of licenses.
+_AS_IS = (
+    'THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT '
+    "NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE "
+    "COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES "
+    "(INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) "
+    "HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) "
+    "ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."
+)
+_BSD = (
+    "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions "
+    "are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following "
+    "disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following "
+    "disclaimer in the documentation and/or other materials provided with the distribution. "
+)
+_ADVERTISING = (
+    "3. All advertising materials mentioning features or use of this software must display the following acknowledgement: This product "
+    "includes software developed by the copyright holder. "
+)
+_ENDORSE = (
+    "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from "
+    "this software without specific prior written permission. "
+)
+_GNU = (
+    "This {thing} is free software: you can redistribute it and/or modify it under the terms of the GNU {name} as published by the Free "
+    "Software Foundation, either version {version} of the License, or (at your option) any later version. This {thing} is distributed in "
+    "the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A "
+    "PARTICULAR PURPOSE. See the GNU {name} for more details."
+)
 TEMPLATES = {
+    "Apache-1.1": "Licensed under the Apache License, Version 1.1.",
     "Apache-2.0": "Licensed under the Apache License, Version 2.0.",
     "Apache-2.0 header": (
         'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in '
-        "compliance with the License. You may obtain a copy of the License at"
+        "compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 "
+        "Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an "
+        '"AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific '
+        "language governing permissions and limitations under the License."
     ),
-    "BSD-3-Clause": (
-        "Redistribution and use in source and binary forms, with or without modification, are permitted provided "
-        "that the following conditions are met"
+    "BSD": "Released under the BSD License.",
+    "BSD-2-Clause": _BSD + _AS_IS,
+    "BSD-3-Clause": _BSD + "3. " + _ENDORSE + _AS_IS,
+    "BSD-4-Clause": _BSD + _ADVERTISING + "4. " + _ENDORSE + _AS_IS,
+    "CC0-1.0": "This work is dedicated to the public domain under the Creative Commons CC0 1.0 Universal License.",
+    "ISC": "Released under the ISC License.",
+    "ISC text": (
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided "
+        "that the above copyright notice and this permission notice appear in all copies. THE SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR "
+        "DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT "
+        "SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS "
+        "OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH "
+        "THE USE OR PERFORMANCE OF THIS SOFTWARE."
     ),
-    "CC-BY-4.0": "This work is licensed under a Creative Commons Attribution 4.0 International License.",
-    "GPL-3.0": "This work is licensed under the GNU General Public License, version 3.",
     "MIT": "Released under the MIT License.",
     "MIT text": (
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and "
-        'associated documentation files (the "Software"), to deal in the Software without restriction'
+        'associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the '
+        "rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to "
+        "whom the Software is furnished to do so, subject to the following conditions: The above copyright notice and this permission notice "
+        'shall be included in all copies or substantial portions of the Software. THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY '
+        "KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND "
+        "NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN "
+        "AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN "
+        "THE SOFTWARE."
+    ),
+    "Unlicense": (
+        "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile, sell, "
+        "or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and "
+        "by any means."
     ),
 }
-CUES = r"(?i)licen[cs]e|permission\s+is\s+hereby\s+granted|redistribution\s+and\s+use"
+for _version in ("1.1", "2.0"):
+    TEMPLATES[f"MPL-{_version}"] = f"Licensed under the Mozilla Public License, Version {_version}."
+TEMPLATES["MPL-2.0 header"] = (
+    "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this "
+    "file, You can obtain one at http://mozilla.org/MPL/2.0/."
+)
+for _family, _name, _versions in (
+    ("GPL", "General Public License", ("1", "2", "3")),
+    ("LGPL", "Library General Public License", ("2",)),
+    ("LGPL", "Lesser General Public License", ("2.1", "3")),
+    ("AGPL", "Affero General Public License", ("3",)),
+):
+    for _version in _versions:
+        _full = f"{_family}-{_version}" if "." in _version else f"{_family}-{_version}.0"
+        TEMPLATES[_full] = f"This work is licensed under the GNU {_name}, version {_version}."
+        for _thing in ("program", "library"):
+            TEMPLATES[f"{_full} notice, {_thing}"] = _GNU.format(thing=_thing, name=_name, version=_version)
+for _version, _port in (("4.0", "International"), ("3.0", "Unported"), ("2.5", "Generic"), ("2.0", "Generic"), ("1.0", "Generic")):
+    for _form, _name in (
+        ("BY", "Attribution"),
+        ("BY-SA", "Attribution-ShareAlike"),
+        ("BY-ND", "Attribution-NoDerivatives"),
+        ("BY-NC", "Attribution-NonCommercial"),
+        ("BY-NC-SA", "Attribution-NonCommercial-ShareAlike"),
+        ("BY-NC-ND", "Attribution-NonCommercial-NoDerivatives"),
+    ):
+        TEMPLATES[f"CC-{_form}-{_version}"] = f"This work is licensed under a Creative Commons {_name} {_version} {_port} License."
+        TEMPLATES[f"CC-{_form}-{_version} short"] = f"Licensed under CC {_form} {_version}."
+CUES = (
+    r"(?i)licen[cs]e|permission\s+is\s+hereby\s+granted|permission\s+to\s+use|redistribution\s+and\s+use|"
+    r"unencumbered\s+software"
+)
 
+# Words that tell licenses apart, and published versions: a text that differs in them is under another license.
+_TELLING = re.compile(
+    r"mit|bsd|isc|apache|gnu|mozilla|mpl|[al]?gpl|lesser|affero|general|public|documentation|creative|commons|cc0?|by(nc|nd|sa)*|attribution\w*|"
+    r"noncommercial\w*|sharealike|noderiv\w*|advertising|acknowledge?ment|endorse|promote|eclipse|boost|artistic|zlib|proprietary"
+)
+_VERSIONS = {
+    "Apache": {"1.0", "1.1", "2", "2.0"},
+    "GPL": {"1", "1.0", "2", "2.0", "3", "3.0"},
+    "LGPL": {"2", "2.0", "2.1", "3", "3.0"},
+    "AGPL": {"1", "1.0", "3", "3.0"},
+    "MPL": {"1.0", "1.1", "2", "2.0"},
+    "CC": {"1.0", "2.0", "2.1", "2.5", "3.0", "4.0"},
+}
 MAX_DIFFERENCES = 0.2
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
 _BARE = re.compile(r"[^\w.]+")
@@ -54,10 +151,32 @@ def _bare(word: str) -> str:
     return _BARE.sub("", word).strip(".").lower()
 
 
+def _bare_words(words: list[str]) -> list[str]:
+    """Words to compare; a Library General Public License is a Lesser one by its first name."""
+    bare = [_bare(w) for w in words]
+    return ["lesser" if pair == ("library", "general") else pair[0] for pair in zip(bare, [*bare[1:], ""], strict=False)]
+
+
+def _is_other_license(name: str, missing: list[str], added: list[str]) -> bool:
+    """Whether words in place of others stand for another license than ``name``. A version that was never
+    published does not: it is reported as a difference."""
+    if any(_TELLING.fullmatch(w) for w in {*missing} ^ {*added}):
+        return True
+    found = re.match(r"(\w+).*?-(\d[\d.]*)( |$)", name)
+    if found is None:
+        return False
+    family, version = found[1], found[2]
+    own = {version, version.removesuffix(".0")}
+    if not own.intersection(missing):
+        return False
+    numbers = {w for w in added if w[:1].isdigit()}
+    return not numbers or bool(numbers & _VERSIONS.get(re.match("[A-Z]*[a-z]*", family)[0], set()) - own)
+
+
 class LicenseScanner:
     def __init__(self, templates: dict[str, str], level: int = 9):
         self.names = sorted(templates)
-        self.words = {n: [_bare(w) for w in _WORD.findall(templates[n])] for n in self.names}
+        self.words = {n: _bare_words(_WORD.findall(templates[n])) for n in self.names}
         self.alone = zstandard.ZstdCompressor(level=level)
         self.given = {
             n: zstandard.ZstdCompressor(
@@ -89,7 +208,7 @@ class LicenseScanner:
     def differences(self, name: str, block: list[str]) -> tuple[int, int, int, str]:
         """First and last word of the block that the template aligns with, number and list of differences."""
         template = self.words[name]
-        words = [_bare(w) for w in block]
+        words = _bare_words(block)
         match = difflib.SequenceMatcher(None, template, words, autojunk=False)
         core = match.find_longest_match()
         lo, hi = max(0, core.b - 2 * core.a - 2), core.b + core.size + 2 * (len(template) - core.a - core.size) + 2
@@ -104,6 +223,8 @@ class LicenseScanner:
         changes, count = [], 0
         for op, a, b, c, d in inside.get_opcodes():
             if op != "equal":
+                if _is_other_license(name, template[a:b], words[first:last][c:d]):
+                    return 0, 0, len(template), ""
                 count += max(b - a, d - c)
                 changes += [f"-{w}" for w in template[a:b]] + [f"+{w}" for w in words[first:last][c:d]]
         return first, last, count, " ".join(changes)

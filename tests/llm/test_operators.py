@@ -531,6 +531,27 @@ def test_license_scan(spark):
     assert sorted(got[105]) == [("GPL-3.0", 0), ("MIT", 0)] and ("MIT text", 0) in got[106]
 
 
+def licenses_in(text):
+    return [(h["license"], h["n_differences"]) for h in license_scan.LicenseScanner(license_scan.TEMPLATES).scan(text)]
+
+
+def test_licenses_are_told_apart():
+    assert licenses_in("lorem ipsum. Licensed under CC BY-NC 4.0.") == [("CC-BY-NC-4.0 short", 0)]
+    assert licenses_in("Code released under the BSD License, by us.") == [("BSD", 0)]
+    assert licenses_in("This library is licensed under the GNU General Public License, version 2.")[0][0] == "GPL-2.0"
+    assert licenses_in("This work is licensed under the GNU Lesser General Public License, version 3.") == [("LGPL-3.0", 0)]
+    assert licenses_in("This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.") == [("CC-BY-SA-4.0", 0)]
+    assert licenses_in("Released under the Zlib License. Released under the Proprietary License.") == []
+    bsd3 = license_scan.TEMPLATES["BSD-3-Clause"]
+    others = bsd3.replace("the copyright holder nor", "Example Ltd. nor").replace("1.", "*").replace("2.", "*").replace("3.", "*")
+    two = others[: others.index("* Neither")] + others[others.index("THIS SOFTWARE") :]
+    four = others.replace("* Neither", "* All advertising materials mentioning this software must display an acknowledgement. * Neither")
+    assert [n for n, _ in licenses_in(others)] == ["BSD-3-Clause"]
+    assert [n for n, _ in licenses_in(two)] == ["BSD-2-Clause"]
+    assert "BSD-3-Clause" not in [n for n, _ in licenses_in(four)]
+    assert all(re.search(license_scan.CUES, t) for t in license_scan.TEMPLATES.values())
+
+
 # --- empty tables ------------------------------------------------------------------
 
 
