@@ -2,7 +2,8 @@
 
 Candidate blocks are the words around a cue such as "license"; overlapping blocks are one. A
 block is compressed alone and with each template as a zstandard raw-content dictionary; the
-template that saves most is the winner, ranked by the bytes saved. A winner counts only if its
+template that saves most is the winner, ranked by the bytes saved; what is left of the block before and
+after a winner's words is scanned again until nothing is found. A winner counts only if its
 exact wording differs from the block in few words, none of them the name, a clause or the version of
 another license: the template is aligned word by word, and the words missing and added are reported; a
 word in place of another is one difference.
@@ -205,13 +206,25 @@ class LicenseScanner:
         if start is not None:
             yield start, end
 
-    def differences(self, name: str, block: list[str]) -> tuple[int, int, int, str]:
-        """First and last word of the block that the template aligns with, number and list of differences."""
+    def alignments(self, name: str, words: list[str]) -> Iterator[tuple[int, int, int, str]]:
+        """First and last word that the template can stand for, number and list of differences, for each place
+        that holds a run of words as long as any place within the limit must have; longest runs first."""
         template = self.words[name]
-        words = _bare_words(block)
-        match = difflib.SequenceMatcher(None, template, words, autojunk=False)
-        core = match.find_longest_match()
-        lo, hi = max(0, core.b - 2 * core.a - 2), core.b + core.size + 2 * (len(template) - core.a - core.size) + 2
+        allowed = int(MAX_DIFFERENCES * len(template))
+        least = max(1, -(-(len(template) - allowed) // (allowed + 1)))
+        todo = [(0, len(words))]
+        while todo:
+            lo, hi = todo.pop()
+            core = difflib.SequenceMatcher(None, template, words[lo:hi], autojunk=False).find_longest_match()
+            if core.size >= least:
+                at = lo + core.b
+                yield self.differences(name, words, core.a, at, core.size)
+                todo += [(at + core.size, hi), (lo, at)]
+
+    def differences(self, name: str, words: list[str], core_a: int, core_b: int, size: int) -> tuple[int, int, int, str]:
+        """First and last word that the template aligns with around equal words, number and list of differences."""
+        template = self.words[name]
+        lo, hi = max(0, core_b - 2 * core_a - 2), core_b + size + 2 * (len(template) - core_a - size) + 2
         near = difflib.SequenceMatcher(None, template, words[lo:hi], autojunk=False)
         same = [m for m in near.get_matching_blocks() if m.size]
         if not same:
@@ -229,32 +242,41 @@ class LicenseScanner:
                 changes += [f"-{w}" for w in template[a:b]] + [f"+{w}" for w in words[first:last][c:d]]
         return first, last, count, " ".join(changes)
 
+    def best(self, part: str, words: list[str]) -> tuple[int, int, int, str, str, int] | None:
+        """The first template, by the bytes saved, that aligns within the limit: as ``differences``, name and bytes."""
+        data = part.encode()
+        size = len(self.alone.compress(data))
+        for less, name in sorted((len(self.given[n].compress(data)) - size, n) for n in self.names):
+            if less >= 0:
+                return None
+            for first, last, n_changes, changes in self.alignments(name, words):
+                if last and n_changes <= MAX_DIFFERENCES * len(self.words[name]):
+                    return first, last, n_changes, changes, name, -less
+        return None
+
     def scan(self, text: str) -> Iterator[dict]:
         for start, end in self.blocks(text):
-            block = text[start:end]
-            data = block.encode()
-            size = len(self.alone.compress(data))
-            saved = sorted((len(self.given[n].compress(data)) - size, n) for n in self.names)
-            spans = [(m.start(), m.end()) for m in _WORD.finditer(block)]
-            words = [block[a:b] for a, b in spans]
-            done: list[tuple[int, int]] = []
-            for less, name in saved:
-                if less >= 0:
-                    break
-                first, last, n_changes, changes = self.differences(name, words)
-                if last == 0 or n_changes > MAX_DIFFERENCES * len(self.words[name]):
+            spans = [(start + m.start(), start + m.end()) for m in _WORD.finditer(text[start:end])]
+            words = _bare_words([text[a:b] for a, b in spans])
+            # What is left before and after a notice is scanned again.
+            parts = [(0, len(spans))]
+            while parts:
+                lo, hi = parts.pop()
+                if lo == hi or not re.search(CUES, part := text[spans[lo][0] : spans[hi - 1][1]]):
                     continue
-                if any(first < b and a < last for a, b in done):
+                found = self.best(part, words[lo:hi])
+                if found is None:
                     continue
-                done.append((first, last))
+                first, last, n_changes, changes, name, saved = found
                 yield {
                     "license": name,
-                    "start": start + spans[first][0],
-                    "end": start + spans[last - 1][1],
-                    "saved_bytes": -less,
+                    "start": spans[lo + first][0],
+                    "end": spans[lo + last - 1][1],
+                    "saved_bytes": saved,
                     "n_differences": n_changes,
                     "differences": changes,
                 }
+                parts += [(lo + last, hi), (lo, lo + first)]
 
 
 def scan_licenses(docs: DataFrame, templates: dict[str, str] | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

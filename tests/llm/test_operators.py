@@ -552,6 +552,17 @@ def test_licenses_are_told_apart():
     assert all(re.search(license_scan.CUES, t) for t in license_scan.TEMPLATES.values())
 
 
+def test_repeated_and_neighbouring_licenses():
+    mit, gpl, text = (license_scan.TEMPLATES[n] for n in ("MIT", "GPL-3.0", "ISC text"))
+    apart = " and then some words "
+    assert licenses_in(apart.join([mit] * 40)) == [("MIT", 0)] * 40
+    lines = [mit, gpl, mit, "Released under the Foo License.", text, mit, gpl.replace("work", "module"), text]
+    got = sorted(licenses_in(apart.join(lines)))
+    assert got == sorted([("MIT", 0)] * 3 + [("GPL-3.0", 0), ("GPL-3.0", 1)] + [("ISC text", 0)] * 2)
+    hits = list(license_scan.LicenseScanner(license_scan.TEMPLATES).scan(f"{gpl}\n{mit}\n{mit}"))
+    assert sorted((h["start"], h["end"]) for h in hits) == [(0, len(gpl)), (len(gpl) + 1, len(gpl + mit) + 1), (len(gpl + mit) + 2, len(gpl + mit + mit) + 2)]
+
+
 # --- empty tables ------------------------------------------------------------------
 
 
