@@ -405,6 +405,14 @@ ORACLE_SQL["wildcard_nocase_unicode"] = _with(
 FROM (SELECT *, replace(lower(message), 'ς', 'σ') AS m FROM (
   SELECT stream_id, seq, ts_ms, concat({_ODD_CASE}, ' ', substr(message, 1, 20)) AS message FROM log_docs))""",
 )
+ORACLE_SQL["wildcard_nocase_unicode_whole"] = _with(
+    "log_docs",
+    rest=f"""SELECT stream_id, seq, ts_ms, message,
+  CAST(CASE WHEN m LIKE '%οδοσ' THEN 0 WHEN m LIKE 'xσ%' THEN 1 WHEN m LIKE '%straße' THEN 2
+            WHEN m LIKE '%ärger' THEN 3 WHEN m LIKE 'école %' THEN 4 END AS INTEGER) AS idx
+FROM (SELECT *, replace(lower(message), 'ς', 'σ') AS m FROM (
+  SELECT stream_id, seq, ts_ms, concat({_ODD_CASE}, ' ', message, ' ', {_ODD_CASE}) AS message FROM log_docs))""",
+)
 ORACLE_SQL["local_time_zones"] = _with(
     "log_events",
     rest="""SELECT stream_id, seq, tz_id, zone,

@@ -454,6 +454,14 @@ def wildcard_nocase_unicode(spark, sf):
     return search.search(events, [WildcardQuery(q, False) for q in ("*ΟΔΟΣ*", "Xς*", "*STRAßE*", "ärger*", "école *")])
 
 
+@registered
+def wildcard_nocase_unicode_whole(spark, sf):
+    """As ``wildcard_nocase_unicode``, on whole messages between letters of odd case."""
+    odd = F.element_at(F.array(*[F.lit(x) for x in ("ΟΔΟΣ", "οδος", "xΣ", "straße", "Ärger", "ÉCOLE")]), (F.col("seq") % 6 + 1).cast("int"))
+    events = views.log_docs(spark, sf).withColumn("message", F.concat(odd, F.lit(" "), F.col("message"), F.lit(" "), odd))
+    return search.search(events, [WildcardQuery(q, False) for q in ("*ΟΔΟΣ", "Xς*", "*STRAßE", "*ärger", "école *")])
+
+
 @registered
 def local_time_zones(spark, sf):
     """Short zone names and offsets next to regional and unknown ones."""
