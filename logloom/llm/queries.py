@@ -10,16 +10,20 @@ from pyspark.sql import functions as F
 
 from logloom.llm import (
     bpe,
+    collocations,
     exact_dedup,
     language_id,
     license_scan,
     mixing,
     near_dup,
+    periodic_runs,
+    simhash,
     suffix_dedup,
     suffix_tree_lm,
     topk_search,
     toxicity,
 )
+from logloom.llm.common import text_of, words_of
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -210,3 +214,84 @@ def op6_suffix_dedup(spark, sf_dir):
         F.size("spans").cast("bigint").alias("n_spans"),
         F.sha2("kept", 256).alias("kept_sha256"),
     )
+
+# --- periodic runs -----------------------------------------------------------------
+
+
+def made_periodic(docs: DataFrame) -> DataFrame:
+    """``doc_id, text``: one document in ten repeats a stretch of its words from some place on."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    words = docs.select("doc_id", "text", h.alias("h"))
+    words = words.withColumn("w", F.when(F.col("h") % 10 == 0, words_of(text_of("text"))))
+    n, g = F.size("w"), F.floor(F.col("h") / 10).cast("bigint")
+    placed = words.withColumn("a", (g % F.nullif(n, F.lit(0))).cast("int"))
+    placed = placed.withColumn("p", (1 + F.floor((n - F.col("a")) / (3 + g % 8))).cast("int"))
+    left = n - F.col("a")
+    tail = F.flatten(F.array_repeat(F.slice("w", F.col("a") + 1, F.col("p")), F.ceil(left / F.col("p")).cast("int")))
+    changed = F.array_join(F.concat(F.slice("w", F.lit(1), F.col("a")), F.slice(tail, F.lit(1), left)), " ")
+    return placed.select("doc_id", F.when(F.col("a").isNotNull(), changed).otherwise(F.col("text")).alias("text"))
+
+
+@registered
+def op11_periodic_runs(spark, sf_dir):
+    found = periodic_runs.collapse_runs(made_periodic(table(spark, sf_dir, "documents")))
+    runs = F.coalesce("runs", F.array().cast("array<struct<start:bigint,period:bigint,length:bigint>>"))
+    lines = F.transform(runs, lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    best = F.get(periodic_runs.by_exponent(F.col("runs")), F.lit(0))
+    rows = found.select(
+        "doc_id",
+        F.size(runs).cast("bigint").alias("n_runs"),
+        best.alias("best"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        F.sha2("text", 256).alias("collapsed_sha256"),
+    )
+    milli = F.expr("(1000 * best.length) div best.period").alias("exponent_milli")
+    return rows.select("doc_id", "n_runs", "best.start", "best.length", "best.period", milli, "runs_sha256", "collapsed_sha256")
+
+# --- SimHash near-dedup ------------------------------------------------------------
+
+
+@registered
+def op12_simhash_near_dup(spark, sf_dir):
+    found = simhash.simhash_components(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+# --- phrase collocations -----------------------------------------------------------
+
+
+@registered
+def op13_collocations(spark, sf_dir):
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+ORACLE_SQL["op13_collocations"] = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents),
+words AS (SELECT lang, list_filter(string_split_regex(piece, '[\x20\x09]+'), lambda w: w <> '') AS w FROM pieces),
+phrases AS (
+  SELECT lang, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i + k - 1], ' '))) AS phrase
+  FROM words, (VALUES (1), (2), (3), (4)) AS sizes(k) WHERE len(w) >= k),
+freq AS (SELECT lang, k, phrase, count(*) AS f FROM phrases GROUP BY lang, k, phrase),
+often AS (SELECT lang, k, phrase, f, string_split(phrase, ' ') AS w FROM freq WHERE k > 1 AND f >= 30),
+totals AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM freq WHERE k = 1 GROUP BY lang),
+parts AS (SELECT lang, phrase, f, w, k, unnest(range(1, k)) AS cut FROM often),
+cuts AS (
+  SELECT p.lang, p.phrase, p.f AS a, p.cut, x.f AS l, y.f AS r,
+    CAST((CAST(2000000 AS HUGEINT) * p.f) // (CAST(x.f AS HUGEINT) + y.f) AS BIGINT) AS score
+  FROM parts p
+  JOIN freq x ON x.lang = p.lang AND x.phrase = array_to_string(p.w[1:p.cut], ' ')
+  JOIN freq y ON y.lang = p.lang AND y.phrase = array_to_string(p.w[p.cut + 1:p.k], ' ')),
+least AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+held AS (
+  SELECT lang, part, max(f) AS f FROM (
+    SELECT lang, f, unnest(list_transform(range(1, k - m + 2), lambda i: array_to_string(w[i:i + m - 1], ' '))) AS part
+    FROM often, (VALUES (2), (3)) AS lengths(m) WHERE m < k)
+  GROUP BY lang, part)
+SELECT * FROM (
+  SELECT e.lang, row_number() OVER (PARTITION BY e.lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+  FROM least e JOIN totals t ON t.lang = e.lang LEFT JOIN held h ON h.lang = e.lang AND h.part = e.phrase
+  WHERE h.f IS NULL OR CAST(100 AS HUGEINT) * h.f < CAST(80 AS HUGEINT) * a)
+WHERE rank <= 2000
+"""
