@@ -25,7 +25,7 @@ FINAL_SIGMA = ("ς", "σ")
 
 def folded(text: Column) -> Column:
     """Case-folded text, letter by letter the same whatever stands around a letter."""
-    return F.translate(F.lower(text), *FINAL_SIGMA)
+    return F.replace(F.lower(text), *[F.lit(c) for c in FINAL_SIGMA])
 
 
 @dataclass(frozen=True)
@@ -144,11 +144,12 @@ class WildcardQuery:
     def cleaned(self) -> str:
         return Glob.parse(self.query).text()
 
-    def matches(self, message: Column) -> Column:
+    def matches(self, message: Column, folded_message: Column | None = None) -> Column:
+        """``folded_message`` saves folding the message again where the rows have it already."""
         glob = Glob.parse(self.query)
         if self.case_sensitive:
             return glob.matches(message)
-        return glob.lowered().matches(folded(message))
+        return glob.lowered().matches(folded(message) if folded_message is None else folded_message)
 
 
 def as_queries(queries: Iterable[WildcardQuery | str]) -> list[WildcardQuery]:
@@ -169,6 +170,7 @@ def first_match_index(
     queries: Iterable[WildcardQuery | str],
     message: Column,
     indexes: Sequence[int] | None = None,
+    folded_message: Column | None = None,
 ) -> Column:
     """Index of the first query in list order that matches, else null; 0 for no queries."""
     qs = as_queries(queries)
@@ -177,8 +179,8 @@ def first_match_index(
     idx = list(indexes) if indexes is not None else list(range(len(qs)))
     groups = []
     for start in range(0, len(qs), _BRANCHES):
-        case = F.when(qs[start].matches(message), F.lit(idx[start]))
+        case = F.when(qs[start].matches(message, folded_message), F.lit(idx[start]))
         for q, i in zip(qs[start + 1 : start + _BRANCHES], idx[start + 1 : start + _BRANCHES], strict=True):
-            case = case.when(q.matches(message), F.lit(i))
+            case = case.when(q.matches(message, folded_message), F.lit(i))
         groups.append(case)
     return groups[0] if len(groups) == 1 else F.coalesce(*groups)

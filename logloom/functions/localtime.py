@@ -15,6 +15,15 @@ ISO_PATTERN = "yyyy-MM-dd'T'HH:mm:ss.SSS"
 FALLBACK_ZONE = "UTC"
 
 
+# Times further out have no microseconds since the epoch in 64 bits, in some zone.
+MAX_CALENDAR_MS = (2**63 - 1) // 1000 - 2 * 86_400_000
+
+
+def calendar_time(ts_ms: Column) -> Column:
+    """The time as a timestamp; null where no calendar holds it."""
+    return F.when(ts_ms.between(-MAX_CALENDAR_MS, MAX_CALENDAR_MS), F.timestamp_millis(ts_ms))
+
+
 def is_known_zone(tz_id: Column) -> Column:
     """Whether Spark accepts the zone: regional names, short names and offsets."""
     return F.call_function("try_make_timestamp", *[F.lit(x) for x in (2000, 1, 1, 0, 0, 0)], tz_id).isNotNull()
@@ -40,7 +49,7 @@ def _by_pattern(pattern: Column | str, known: Sequence[str], apply) -> Column:
 def render_local(
     ts_ms: Column, tz_id: Column, pattern: Column | str, known_patterns: Sequence[str] = ()
 ) -> Column:
-    """Local time text of an epoch time."""
+    """Local time text of an epoch time; null for times that no calendar holds."""
     return render_in_zone(ts_ms, usable_zone(tz_id), pattern, known_patterns)
 
 
@@ -48,7 +57,7 @@ def render_in_zone(
     ts_ms: Column, zone: Column, pattern: Column | str, known_patterns: Sequence[str] = ()
 ) -> Column:
     """As :func:`render_local`, for a zone that is known to be valid."""
-    local = F.from_utc_timestamp(F.timestamp_millis(ts_ms), zone)
+    local = F.from_utc_timestamp(calendar_time(ts_ms), zone)
     return _by_pattern(pattern, known_patterns, lambda p: F.call_function("date_format", local, p))
 
 

@@ -44,12 +44,6 @@ def after_cursor(events: DataFrame, cursors: DataFrame) -> DataFrame:
     return joined.filter(F.col("after_seq").isNull() | (F.col("seq") > F.col("after_seq"))).drop("after_seq")
 
 
-def earliest(rows: DataFrame) -> DataFrame:
-    """The row of smallest ``seq`` per stream: a hash aggregate of positions, then a semi join."""
-    first = rows.groupBy("stream_id").agg(F.min("seq").alias("seq"))
-    return attach(rows, first, S.EVENT_KEY, "left_semi")
-
-
 def next_match(
     events: DataFrame,
     queries: Queries,
@@ -60,7 +54,7 @@ def next_match(
 ) -> DataFrame:
     """The next matching event of each stream behind its cursor."""
     rows = events if cursors is None else after_cursor(events, cursors)
-    return earliest(search(rows, queries, lower, upper, stop_at_upper))
+    return first_per_stream(search(rows, queries, lower, upper, stop_at_upper), 1).drop("rank")
 
 
 def next_where(events: DataFrame, predicate, cursors: DataFrame | None = None) -> DataFrame:
@@ -70,7 +64,7 @@ def next_where(events: DataFrame, predicate, cursors: DataFrame | None = None) -
     Python function as in :func:`logloom.operators.search.where`.
     """
     rows = events if cursors is None else after_cursor(events, cursors)
-    return earliest(where(rows, predicate))
+    return first_per_stream(where(rows, predicate), 1).drop("rank")
 
 
 def first_k_matches(

@@ -9,13 +9,18 @@ from logloom import schema as S
 from logloom.functions.templates import may_match
 from logloom.operators.encoding import decode_log, with_logtypes
 from logloom.operators.search import Queries, before_cutoff, in_interval, search, upper_cutoffs
+from logloom.operators.stored import MAX_NAMED_FILES, early_stop_stored
 from logloom.plans.joins import attach_materialized
 from logloom.session import materialize
-from logloom.sources.log_tables import DAY_MS, read_encoded, read_logtypes, read_streams, restore_timestamps
+from logloom.sources.log_tables import Snapshot
+from logloom.sources.zones import logtype_entry, may_hold_any
 
 # Up to this many candidate ids go into the scan as a literal list.
 PUSHED_IDS = 1000
 
+# Up to this many candidate ids are looked up in the blocks' filters.
+FILTERED_IDS = 32
+
 # With fewer rows per log type than this, testing log types costs more than it saves.
 MIN_ROWS_PER_LOGTYPE = 4
 
@@ -69,13 +74,32 @@ def search_log(
     upper: int = S.MAX_TS,
     stop_at_upper: bool = False,
 ) -> DataFrame:
-    """:func:`search_encoded` over a stored log of either width."""
-    rows, streams = read_encoded(spark, path), read_streams(spark, path)
-    n_delta, n_rows = streams.agg(F.count_if(F.col("width") == 4), F.sum("n_events")).first()
-    if n_delta:
-        # Delta-coded times need the whole stream, so neither folders nor row groups prune.
-        rows = restore_timestamps(rows, streams)
-    elif not stop_at_upper:
-        # Folders are whole days in UTC; out-of-range days are never opened.
-        rows = rows.filter(F.col("event_day").between(lower // DAY_MS, upper // DAY_MS))
-    return search_encoded(rows, read_logtypes(spark, path), queries, lower, upper, stop_at_upper, n_rows or 0)
+    """:func:`search` over a stored log: prunes log types, then blocks, and decodes only what is left.
+
+    Blocks outside the interval, and blocks whose filter knows none of few candidate log types, are not opened.
+    """
+    queries = list(queries)
+    if stop_at_upper:
+        return early_stop_stored(spark, path, queries, lower, upper)
+    log = Snapshot(spark, path)
+    chunks = log.manifest.chunks.values()
+    blocks = log.seen().filter((F.col("max_ts") >= F.lit(lower)) & (F.col("min_ts") < F.lit(upper)))
+    if sum(c.n_logtypes for c in chunks) * MIN_ROWS_PER_LOGTYPE > sum(c.n_events for c in chunks):
+        # Nearly every row has its own log type (prose): nothing to gain from pruning by type.
+        rows = _rows_of_blocks(log, blocks).filter(in_interval(lower, upper))
+        return search(_decoded(log.named(rows)), queries, lower, upper)
+    candidates = materialize(log.logtypes().select("logtype_id", "logtype").filter(may_match(queries, "logtype")))
+    ids = [r[0] for r in candidates.select("logtype_id").limit(PUSHED_IDS + 1).collect()]
+    if len(ids) <= FILTERED_IDS:
+        blocks = blocks.filter(may_hold_any([logtype_entry(F.lit(i)) for i in ids]))
+    rows = _rows_of_blocks(log, blocks).filter(in_interval(lower, upper))
+    if len(ids) <= PUSHED_IDS:
+        rows = rows.filter(F.col("logtype_id").isin(ids))
+    named = attach_materialized(rows, candidates, ["logtype_id"], "inner")
+    return search(_decoded(named), queries, lower, upper)
+
+
+def _rows_of_blocks(log: Snapshot, blocks: DataFrame) -> DataFrame:
+    """The timed rows of the files that hold ``blocks``; the other tests are made on the rows."""
+    files = blocks.select("chunk", "file").distinct().limit(MAX_NAMED_FILES + 1).collect()
+    return log.timed(log.events(None if len(files) > MAX_NAMED_FILES else sorted((r.chunk, r.file) for r in files)))

@@ -9,9 +9,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from logloom import schema as S
-from logloom.functions.glob import WildcardQuery, any_match, first_match_index
-from logloom.functions.query_table import table_match_index
+from logloom.functions.glob import WildcardQuery, any_match, first_match_index, folded
+from logloom.functions.pattern_columns import first_in_table, keyed_queries
 from logloom.plans.joins import attach
+from logloom.session import materialize
 
 Queries = Iterable[WildcardQuery | str]
 
@@ -19,6 +20,10 @@ Queries = Iterable[WildcardQuery | str]
 _PUSHED_QUERIES = 16
 
 
+# Up to this many queries of a table are one expression; more are looked up by a join.
+PLAIN_QUERIES = 256
+
+
 def in_interval(lower: int = S.MIN_TS, upper: int = S.MAX_TS) -> Column:
     """``[lower, upper)`` on ``ts_ms``; two range tests that reach the Parquet scan."""
     return (F.col("ts_ms") >= F.lit(lower)) & (F.col("ts_ms") < F.lit(upper))
@@ -71,25 +76,26 @@ def stream_search(events: DataFrame, queries: Queries, lower: int = S.MIN_TS, up
 def search_query_table(events: DataFrame, queries: DataFrame, lower: int = S.MIN_TS, upper: int = S.MAX_TS) -> DataFrame:
     """As :func:`search`, with queries from a table ``(idx, query, case_sensitive)``.
 
-    The query list is read by the driver, as the list of :func:`search` is; events are scanned once,
-    whatever its length, and no event row is paired with query rows. A few queries become one
-    expression, more are tested by :mod:`logloom.functions.query_table`; both give the same rows.
-    ``idx`` is the place of a query in the list: it must not be null or occur twice.
+    A long table stays a table: events are scanned once, short texts of their messages
+    find the queries that may match by an equi-join, and only those are tested
+    (:mod:`logloom.functions.pattern_columns`). Up to ``PLAIN_QUERIES`` become one expression, which gives
+    the same rows. ``idx`` is the place of a query in the list: it must not be null or occur twice.
     """
-    rows = [(r["idx"], r["query"], r["case_sensitive"]) for r in queries.select("idx", "query", "case_sensitive").collect()]
-    indexes = [r[0] for r in rows]
-    if None in indexes or len(set(indexes)) < len(indexes):
+    n, n_places = queries.agg(F.count(F.lit(1)), F.count_distinct("idx")).first()
+    if n != n_places:
         raise ValueError("idx must be given and unique for every query")
-    if not rows:
+    if n == 0:
         return search(events, [], lower, upper)
-    rows.sort()
-    if len(rows) <= _PUSHED_QUERIES:
-        message = F.col("message")
-        index = first_match_index([WildcardQuery(q, exact) for _, q, exact in rows], message, [r[0] for r in rows])
-    else:
-        index = table_match_index(rows, F.col("message"))
-    found = events.filter(in_interval(lower, upper)).withColumn("idx", index.cast("int"))
-    return found.filter(F.col("idx").isNotNull())
+    in_time = events.filter(in_interval(lower, upper))
+    if n > PLAIN_QUERIES:
+        return first_in_table(in_time, materialize(keyed_queries(queries)))
+    rows = sorted(queries.select("idx", "query", "case_sensitive").collect())
+    # Folded once per row: the generator keeps the expression from being copied into each test.
+    once = in_time.withColumn("_folded", F.explode(F.array(folded(F.col("message")))))
+    index = first_match_index(
+        [WildcardQuery(r["query"], r["case_sensitive"]) for r in rows], F.col("message"), [r["idx"] for r in rows], F.col("_folded")
+    )
+    return once.withColumn("idx", index.cast("int")).filter(F.col("idx").isNotNull()).drop("_folded")
 
 
 def contains(events: DataFrame, text: str) -> DataFrame:

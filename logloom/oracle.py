@@ -22,7 +22,7 @@ _VIEWS = {
          {_MESSAGE} AS message
   FROM events)""",
     "log_docs": """log_docs AS (
-  SELECT CAST(substr(source, 4) AS BIGINT) AS stream_id, doc_id AS seq, CAST(0 AS BIGINT) AS ts_ms,
+  SELECT TRY_CAST(substr(source, 4, 20) AS BIGINT) AS stream_id, doc_id AS seq, CAST(0 AS BIGINT) AS ts_ms,
          text AS message
   FROM documents)""",
     "log_conv": """log_conv AS (
@@ -403,7 +403,7 @@ ORACLE_SQL["wildcard_nocase_unicode"] = _with(
   CAST(CASE WHEN m LIKE '%οδοσ%' THEN 0 WHEN m LIKE 'xσ%' THEN 1 WHEN m LIKE '%straße%' THEN 2
             WHEN m LIKE 'ärger%' THEN 3 WHEN m LIKE 'école %' THEN 4 END AS INTEGER) AS idx
 FROM (SELECT *, replace(lower(message), 'ς', 'σ') AS m FROM (
-  SELECT stream_id, seq, ts_ms, concat({_ODD_CASE}, ' ', substr(message, 1, 20)) AS message FROM log_docs))""",
+  SELECT stream_id, seq, ts_ms, concat({_ODD_CASE}, ' ', message) AS message FROM log_docs))""",
 )
 ORACLE_SQL["wildcard_nocase_unicode_whole"] = _with(
     "log_docs",
@@ -432,3 +432,98 @@ ORACLE_SQL["stream_search"] = ORACLE_SQL["multi_query_first_match"]
 ORACLE_SQL["stream_ts_restore"] = ORACLE_SQL["ts_delta_restore"]
 ORACLE_SQL["stream_early_stop"] = ORACLE_SQL["time_interval_early_stop"]
 ORACLE_SQL["stream_encode_append"] = ORACLE_SQL["decode_roundtrip"]
+ORACLE_SQL["stored_commits"] = _with(
+    "log_events",
+    rest=f"""SELECT stream_id, seq, ts_ms, message, state
+FROM log_events, (VALUES ('stopped'), ('done'), ('past')) AS s(state) WHERE state = 'done' OR ts_ms < {LOWER}""",
+)
+ORACLE_SQL["stored_seek"] = ORACLE_SQL["seek_epoch"]
+ORACLE_SQL["stored_read_from"] = ORACLE_SQL["read_from_epoch"]
+ORACLE_SQL["stored_early_stop"] = ORACLE_SQL["time_interval_early_stop"]
+ORACLE_SQL["stored_next_match"] = ORACLE_SQL["next_match_after"]
+ORACLE_SQL["stored_first_k"] = f"""SELECT * FROM (
+  SELECT *, CAST(row_number() OVER (PARTITION BY stream_id ORDER BY seq) AS INTEGER) AS rank
+  FROM ({_search("log_disordered", _ERROR_THEN_PURCHASE)})) WHERE rank <= 3"""
+ORACLE_SQL["stored_contains"] = _with(
+    "log_disordered",
+    rest="""SELECT stream_id, seq, ts_ms, message, test FROM log_disordered,
+  (VALUES ('contains'), ('prefix'), ('suffix'), ('function')) AS t(test)
+WHERE CASE test WHEN 'contains' THEN contains(message, 'code13') WHEN 'prefix' THEN starts_with(message, 'user=12')
+  WHEN 'suffix' THEN ends_with(message, '"k": 7}') ELSE length(message) % 7 = 3 AND ts_ms % 2 = 0 END
+QUALIFY row_number() OVER (PARTITION BY stream_id, test ORDER BY seq) = 1""",
+)
+ORACLE_SQL["stored_var_lookup"] = _with(
+    "log_events",
+    _segments("log_events", 8),
+    "held AS (SELECT DISTINCT stream_id, seq, k, tok FROM seg WHERE k IN ('i', 'd'))",
+    "last AS (SELECT CAST(arg_max(user_id, event_id) AS VARCHAR) AS id FROM events)",
+    rest="""SELECT e.*, v.value FROM log_events e JOIN held USING (stream_id, seq), last, (VALUES ('user'), ('code')) AS v(value)
+WHERE CASE v.value WHEN 'user' THEN k = 'i' AND tok = id ELSE k = 'd' AND tok = 'code16' END""",
+)
+ORACLE_SQL["stored_audit"] = _with(
+    "log_events",
+    rest=f"""SELECT CAST(CASE WHEN ts_ms < {LOWER + 5 * 86_400_000} THEN 0 ELSE 1 END AS BIGINT) AS chunk, stream_id,
+  count(*) AS n_events, count(*) AS n_stored, TRUE AS intact
+FROM log_events GROUP BY ALL""",
+)
+ORACLE_SQL["stored_headers_roundtrip"] = _with(
+    "log_events",
+    "streams_raw",
+    "streams",
+    rest="""SELECT e.stream_id, coalesce(any_value(s.ts_pattern), 'HH:mm') AS ts_pattern,
+  coalesce(any_value(s.ts_pattern_syntax), 'plain') AS ts_pattern_syntax, coalesce(any_value(s.tz_id), 'Asia/Tokyo') AS tz_id,
+  coalesce(any_value(CASE WHEN s.width = 4 THEN s.reference_ts END), 0) AS reference_ts,
+  count(*) AS n_events, count(*) AS n_read, min(e.ts_ms) AS first_ts
+FROM log_events e LEFT JOIN (SELECT * FROM streams WHERE status = 'Success') s USING (stream_id) GROUP BY e.stream_id""",
+)
+_EDGE_TIMES = """edges AS (
+  SELECT stream_id, seq, message, CASE WHEN seq % 16 < 8 THEN
+    [-9223372036854775808, -5, -1, 0, 1, 253402300800000, 9223372036854775806, 9223372036854775807][seq % 16 + 1]
+    ELSE ts_ms END AS ts_ms
+  FROM log_events)"""
+ORACLE_SQL["stored_time_edges"] = _with(
+    "log_events",
+    _EDGE_TIMES,
+    rest="""SELECT stream_id, seq, CAST(ts_ms AS BIGINT) AS ts_ms, message, status, CAST(width AS INTEGER) AS width
+FROM edges, (VALUES (4), (8)) AS w(width), (VALUES ('Success'), ('found')) AS s(status)
+WHERE status = 'Success' OR (ts_ms >= 0 AND ts_ms < 9223372036854775807 AND message LIKE '%error%')""",
+)
+ORACLE_SQL["local_time_edges"] = _with(
+    "log_events",
+    _EDGE_TIMES,
+    rest="""SELECT stream_id, seq, CASE WHEN abs(CAST(ts_ms AS HUGEINT)) < 9000000000000000000
+  THEN strftime(make_timestamp(CAST(ts_ms AS BIGINT) * 1000) + INTERVAL 330 MINUTE, '%Y-%m-%d %H:%M:%S,%g') END AS local_time
+FROM (SELECT stream_id, seq, CASE WHEN abs(CAST(ts_ms AS HUGEINT)) < 9000000000000000 THEN ts_ms ELSE 9223372036854775807 END AS ts_ms
+      FROM edges WHERE ts_ms NOT IN (-5, 253402300800000))""",
+)
+_PAIRS = r"""pairs AS (
+  SELECT *, seq % 4 < 2 AS case_sensitive, split_part(message, ' ', 2) AS kind,
+    CASE seq % 6 WHEN 0 THEN concat('*', split_part(message, ' ', 2), ' took ??.*')
+      WHEN 1 THEN concat('user=*', upper(split_part(message, ' ', 2)), '*')
+      WHEN 2 THEN concat('*\{*\k*', seq % 10, '}') WHEN 3 THEN '*\*'
+      WHEN 4 THEN concat('**code1?*', split_part(message, ' ', 2), '*') ELSE 'USER=*code*? *}' END AS query
+  FROM log_events),
+liked AS (
+  SELECT *, CASE seq % 6 WHEN 2 THEN concat('%{%k%', seq % 10, '}') WHEN 3 THEN '%*'
+    ELSE replace(replace(query, '*', '%'), '?', '_') END AS p
+  FROM pairs)"""
+ORACLE_SQL["wildcard_match_columns"] = _with(
+    "log_events",
+    _PAIRS,
+    rest="""SELECT stream_id, seq, query, case_sensitive, hit AS matches, hit AS by_sql FROM (
+  SELECT *, CASE WHEN case_sensitive THEN message LIKE p ESCAPE '^' ELSE lower(message) LIKE lower(p) ESCAPE '^' END AS hit
+  FROM liked)""",
+)
+ORACLE_SQL["query_table_long"] = _with(
+    "log_events",
+    r"""long_table AS (
+  SELECT *, CAST(row_number() OVER (ORDER BY query, case_sensitive) - 1 AS INTEGER) AS idx FROM (
+    SELECT DISTINCT concat('user=', stream_id, ' *took ', regexp_extract(message, 'took (\S+)', 1), '*') AS query, seq % 80 = 0 AS case_sensitive,
+      concat('user=', stream_id, ' %took ', regexp_extract(message, 'took (\S+)', 1), '%') AS p
+    FROM log_events WHERE seq % 40 = 0
+    UNION ALL SELECT * FROM (VALUES ('*\z?q*', TRUE, '%z_q%'), ('*Z?Q*', FALSE, '%z_q%'), ('?', TRUE, '_'), ('', TRUE, ''),
+      ('*\?*', TRUE, '%?%'), ('*~*', TRUE, '%~%'), ('*\{\}', FALSE, '%{}')) AS t))""",
+    rest="""SELECT stream_id, seq, ts_ms, message, min(idx) AS idx
+FROM log_events JOIN long_table ON CASE WHEN case_sensitive THEN message LIKE p ESCAPE '^' ELSE lower(message) LIKE lower(p) ESCAPE '^' END
+GROUP BY stream_id, seq, ts_ms, message""",
+)

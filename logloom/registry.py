@@ -8,9 +8,10 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from logloom import schema as S
+from logloom.functions import pattern_columns
 from logloom.functions.glob import WildcardQuery
-from logloom.functions.localtime import parse_local, render_local, usable_zone
-from logloom.operators import cursor, encoding, pruned, quality, search, timestamps
+from logloom.functions.localtime import calendar_time, parse_local, render_local, usable_zone
+from logloom.operators import cursor, encoding, pruned, quality, search, stored, timestamps
 from logloom.session import scratch_path
 from logloom.sources import log_tables, metadata, text, views
 from logloom.streaming import jobs
@@ -42,7 +43,7 @@ def registered(fn: Query) -> Query:
 
 @registered
 def scan_events(spark, sf):
-    wall = F.date_format(F.timestamp_millis("ts_ms"), "yyyy-MM-dd HH:mm:ss.SSS")
+    wall = F.date_format(calendar_time(F.col("ts_ms")), "yyyy-MM-dd HH:mm:ss.SSS")
     return views.log_events(spark, sf).withColumn("wall_time", wall)
 
 
@@ -450,7 +451,7 @@ def search_outcome_all_streams(spark, sf):
 def wildcard_nocase_unicode(spark, sf):
     """Every message of a log with letters of odd case matches itself and its capitals without case."""
     odd = F.element_at(F.array(*[F.lit(x) for x in ("ΟΔΟΣ", "οδος", "xΣ", "straße", "Ärger", "ÉCOLE")]), (F.col("seq") % 6 + 1).cast("int"))
-    events = views.log_docs(spark, sf).withColumn("message", F.concat(odd, F.lit(" "), F.substring("message", 1, 20)))
+    events = views.log_docs(spark, sf).withColumn("message", F.concat(odd, F.lit(" "), F.col("message")))
     return search.search(events, [WildcardQuery(q, False) for q in ("*ΟΔΟΣ*", "Xς*", "*STRAßE*", "ärger*", "école *")])
 
 
@@ -483,6 +484,184 @@ def codec_errors(spark, sf):
     return decoded.join(encoded.select(*S.EVENT_KEY, F.col("status").alias("encode_status")), S.EVENT_KEY).select(*S.EVENT_KEY, "encode_status", "status")
 
 
+# --- stored logs: commits, zones, cursors ------------------------------------------
+
+
+def _in_two_chunks(spark, events: DataFrame, label: str, width: int = 8) -> str:
+    """A log of two chunks, cut at a time: streams whose time runs backwards have overlapping chunks."""
+    path = scratch_path(spark, label)
+    log_tables.write_log(events.filter(F.col("ts_ms") < LOWER + 5 * 86_400_000), path, width, chunk=0, closed=False)
+    log_tables.write_log(events.filter(F.col("ts_ms") >= LOWER + 5 * 86_400_000), path, width, chunk=1)
+    return path
+
+
+@registered
+def stored_commits(spark, sf):
+    """What readers see: before and after a write that stopped without its commit, after its retry, and of the past."""
+    events = views.log_events(spark, sf)
+    path = scratch_path(spark, "commits")
+    old, new = events.filter(F.col("ts_ms") < LOWER), events.filter(F.col("ts_ms") >= LOWER)
+    base = log_tables.write_log(old, path, width=8, closed=False)
+    header = {"ts_pattern": "", "ts_pattern_syntax": "", "tz_id": "UTC"}
+    log_tables.write_chunk(new, path, base, 1, 8, header)  # all tables are there, but no commit
+    stopped = log_tables.read_log(spark, path)
+    done = log_tables.write_log(new, path, width=8, chunk=1)
+    seen = {"stopped": stopped, "done": log_tables.read_log(spark, path), "past": log_tables.read_log(spark, path, done.version - 1)}
+    parts = [rows.drop("status").withColumn("state", F.lit(name)) for name, rows in seen.items()]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+@registered
+def stored_seek(spark, sf):
+    return stored.seek_stored(spark, _in_two_chunks(spark, views.log_disordered(spark, sf), "seek"), LOWER)
+
+
+@registered
+def stored_read_from(spark, sf):
+    return stored.read_from_stored(spark, _in_two_chunks(spark, views.log_disordered(spark, sf), "read", 4), UPPER)
+
+
+@registered
+def stored_early_stop(spark, sf):
+    path = _in_two_chunks(spark, views.log_disordered(spark, sf), "stop", 4)
+    return stored.early_stop_stored(spark, path, ["*error*"], LOWER, UPPER)
+
+
+def _first_errors(events: DataFrame) -> DataFrame:
+    return search.contains(events, "error").groupBy("stream_id").agg(F.min("seq").alias("after_seq"))
+
+
+@registered
+def stored_next_match(spark, sf):
+    events = views.log_events(spark, sf)
+    path = _in_two_chunks(spark, events, "next")
+    return stored.next_match_stored(spark, path, ["*purchase*", "*signup*"], _first_errors(events))
+
+
+@registered
+def stored_first_k(spark, sf):
+    path = _in_two_chunks(spark, views.log_disordered(spark, sf), "first-k", 4)
+    return stored.first_k_stored(spark, path, lambda e: search.search(e, ERROR_THEN_PURCHASE), 3)
+
+
+@registered
+def stored_contains(spark, sf):
+    """The next event of each stream that contains, begins with or ends with a text, or for which a function holds."""
+    path = _in_two_chunks(spark, views.log_disordered(spark, sf), "contains")
+    message = F.col("message")
+    tests = {
+        "contains": F.contains(message, F.lit("code13")),
+        "prefix": F.startswith(message, F.lit("user=12")),
+        "suffix": F.endswith(message, F.lit('"k": 7}')),
+        "function": lambda ts, msg: (msg.str.len() % 7 == 3) & (ts % 2 == 0),
+    }
+    parts = [stored.next_where_stored(spark, path, t).withColumn("test", F.lit(name)) for name, t in tests.items()]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3])
+
+
+@registered
+def stored_var_lookup(spark, sf):
+    """All events that hold the user id of the last event as a variable, and all that hold a string variable."""
+    events = views.log_events(spark, sf)
+    path = scratch_path(spark, "lookup")
+    log_tables.write_log(events, path, width=8)
+    user = events.agg(F.max_by("stream_id", "seq")).first()[0]
+    found = {"user": stored.lookup_variable(spark, path, str(user)), "code": stored.lookup_variable(spark, path, "code16")}
+    parts = [rows.withColumn("value", F.lit(name)) for name, rows in found.items()]
+    return parts[0].unionByName(parts[1])
+
+
+@registered
+def stored_audit(spark, sf):
+    return log_tables.audit_log(spark, _in_two_chunks(spark, views.log_events(spark, sf), "audit", 4))
+
+
+@registered
+def stored_headers_roundtrip(spark, sf):
+    """Streams with headers of their own, as parsed from metadata, and the defaults of the writer for the others."""
+    events = views.log_events(spark, sf)
+    heads = metadata.parse_metadata(views.streams_raw(spark, sf)).filter(F.col("status") == S.SUCCESS)
+    path = scratch_path(spark, "headers")
+    log_tables.write_log(
+        events, path, width=4, tz_id="Asia/Tokyo", ts_pattern="HH:mm", ts_pattern_syntax="plain",
+        references=heads.filter("width = 4").select("stream_id", "reference_ts"), streams=heads,
+    )
+    stored_heads = log_tables.read_streams(spark, path)
+    counts = log_tables.read_log(spark, path).groupBy("stream_id").agg(F.count(F.lit(1)).alias("n_read"), F.min("ts_ms").alias("first_ts"))
+    kept = ["stream_id", "ts_pattern", "ts_pattern_syntax", "tz_id", "reference_ts", "n_events", "n_read", "first_ts"]
+    return stored_heads.join(counts, "stream_id").select(*kept)
+
+
+def _edge_times(spark, sf) -> DataFrame:
+    """Events of which every second has a time at some edge, the smallest and largest 64-bit ones among them."""
+    edges = [-(2**63), -5, -1, 0, 1, 253402300800000, S.MAX_TS - 1, S.MAX_TS]
+    at = F.element_at(F.array(*[F.lit(e) for e in edges]), (F.col("seq") % 16 + 1).cast("int"))
+    return views.log_events(spark, sf).withColumn("ts_ms", F.when(F.col("seq") % 16 < 8, at).otherwise(F.col("ts_ms")))
+
+
+@registered
+def stored_time_edges(spark, sf):
+    parts = []
+    for width in (4, 8):
+        path = scratch_path(spark, f"edges{width}")
+        log_tables.write_log(_edge_times(spark, sf), path, width=width)
+        parts.append(log_tables.read_log(spark, path).withColumn("width", F.lit(width)))
+        parts.append(pruned.search_log(spark, path, ["*error*"]).withColumnRenamed("idx", "width").withColumns({"status": F.lit("found"), "width": F.lit(width)}))
+    return parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3])
+
+
+@registered
+def local_time_edges(spark, sf):
+    """Local time where a calendar has it, else null."""
+    events = _edge_times(spark, sf).filter(~F.col("ts_ms").isin(-5, 253402300800000))
+    return events.select(*S.EVENT_KEY, render_local(F.col("ts_ms"), F.lit("Asia/Kolkata"), PATTERN).alias("local_time"))
+
+
+# --- queries that are data ---------------------------------------------------------
+
+
+def _pairs(spark, sf) -> DataFrame:
+    """Every event with a query made from another column of its row; one in three differs in case only."""
+    parts = F.split("message", " ")
+    event_type, n = F.get(parts, F.lit(1)), F.col("seq") % 6
+    query = (
+        F.when(n == 0, F.concat(F.lit("*"), event_type, F.lit(" took ??.*")))
+        .when(n == 1, F.concat(F.lit("user=*"), F.upper(event_type), F.lit("*")))
+        .when(n == 2, F.concat(F.lit(r"*\{*\k*"), (F.col("seq") % 10).cast("string"), F.lit("}")))
+        .when(n == 3, F.lit(r"*\*"))
+        .when(n == 4, F.concat(F.lit("**code1?*"), event_type, F.lit("*")))
+        .otherwise(F.concat(F.lit("USER=*code*? *"), F.lit("}")))
+    )
+    return views.log_events(spark, sf).withColumns({"query": query, "case_sensitive": F.col("seq") % 4 < 2})
+
+
+@registered
+def wildcard_match_columns(spark, sf):
+    """By a side table of the distinct queries, and by the SQL function."""
+    pairs = _pairs(spark, sf)
+    pattern_columns.register_sql(spark)
+    by_table = pattern_columns.match_columns(pairs, "message", "query", "case_sensitive")
+    by_sql = by_table.withColumn(
+        "by_sql",
+        F.expr("if(case_sensitive, wildcard_query_match(message, query), wildcard_query_match_nocase(message, query))"),
+    )
+    return by_sql.select(*S.EVENT_KEY, "query", "case_sensitive", "matches", "by_sql")
+
+
+@registered
+def query_table_long(spark, sf):
+    """A query table of some thousand queries, with escapes, without plain texts and of one letter among them."""
+    events = views.log_events(spark, sf)
+    rare = events.filter("seq % 40 = 0").select(
+        F.concat(F.lit("user="), F.col("stream_id").cast("string"), F.lit(" *took "), F.regexp_extract("message", r"took (\S+)", 1), F.lit("*")).alias("query"),
+        (F.col("seq") % 80 == 0).alias("case_sensitive"),
+    )
+    odd = spark.createDataFrame([(r"*\z?q*", True), ("*Z?Q*", False), ("?", True), ("", True), (r"*\?*", True), ("*~*", True), (r"*\{\}", False)], "query string, case_sensitive boolean")
+    table = rare.unionByName(odd).distinct()
+    order = F.row_number().over(Window.orderBy("query", "case_sensitive")) - 1
+    return search.search_query_table(events, table.withColumn("idx", order.cast("int")))
+
+
 # --- streaming ---------------------------------------------------------------------
 
 

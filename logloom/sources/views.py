@@ -57,7 +57,8 @@ def log_disordered(spark: SparkSession, sf_dir: str) -> DataFrame:
 def log_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as long multi-line messages, one stream per source."""
     return _table(spark, sf_dir, "documents").select(
-        F.substring("source", 4, 20).cast("bigint").alias("stream_id"),
+        # Sources of another form are the stream without an id.
+        F.substring("source", 4, 20).try_cast("bigint").alias("stream_id"),
         F.col("doc_id").alias("seq"),
         F.lit(0).cast("bigint").alias("ts_ms"),
         F.col("text").alias("message"),

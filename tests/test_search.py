@@ -4,12 +4,14 @@ import pytest
 from pyspark.sql import functions as F
 
 from logloom import schema as S
+from logloom.functions import pattern_columns
 from logloom.functions.glob import WildcardQuery
 from logloom.functions.templates import may_match
 from logloom.operators import cursor, pruned, quality, search
 from logloom.operators.encoding import encode_log
 from logloom.session import scratch_path
 from logloom.sources.log_tables import read_encoded, write_log
+from tests.test_plans import plan_of
 
 EDGE = [(0, i, t, f"m{i}") for i, t in enumerate([-1, 0, 99, 100, 199, 200, S.MAX_TS - 1, S.MAX_TS])]
 
@@ -80,8 +82,9 @@ def test_next_where_takes_columns_and_functions(make_events):
     assert seqs(cursor.next_where(events, lambda ts, msg: ts > 4)) == [5]
 
 
-@pytest.mark.parametrize("more", [0, 30])
-def test_query_tables_of_any_length(spark, make_events, more):
+@pytest.mark.parametrize(("more", "plain"), [(0, 0), (30, 256), (30, 10)])
+def test_query_tables_of_any_length(spark, make_events, monkeypatch, more, plain):
+    monkeypatch.setattr(search, "PLAIN_QUERIES", plain)
     events = make_events([(0, i, i, f"a{i % 5}b{i % 3}") for i in range(30)] + [(0, 99, 1, None)])
     queries = [(3, "*A4*", True), (5, "*B1", False), (8, "a?b*", True), (9, "*", True), (11, "a2*", True)]
     queries += [(100 + i, f"*none{i}?x*", i % 2 == 0) for i in range(more)]
@@ -148,3 +151,36 @@ def test_stored_search_equals_plain_search(spark, make_events, width, stop):
     found = pruned.search_log(spark, path, *args).select("stream_id", "seq", "ts_ms", "idx")
     assert sorted(map(tuple, found.collect())) == plain and plain
     assert read_encoded(spark, path).count() == len(rows)
+
+
+def test_long_query_tables_agree_with_expressions(spark, make_events, monkeypatch):
+    rng = random.Random(6)
+    parts = ["a", "B", "é", "ς", "Σ", "*", "?", "\\z", "\\*", "\\?", "\\\\", "zX", " ", "ab", ".", "(", "{"]
+    texts = ["".join(rng.choice(["a", "b", "É", "σ", "zXq", "*", "?", "\\", " ", ".", "(", "\n", "😀"]) for _ in range(rng.randint(0, 12))) for _ in range(300)]
+    events = make_events([(0, i, i, t) for i, t in enumerate(texts)] + [(0, 500, 1, None)])
+    queries = {("".join(rng.choice(parts) for _ in range(rng.randint(0, 6))), rng.random() < 0.5) for _ in range(120)}
+    table = spark.createDataFrame([(i, q, c) for i, (q, c) in enumerate(sorted(queries))] + [(900, r"*\z?q*", True)], "idx int, query string, case_sensitive boolean")
+    found = []
+    for plain in (1000, 0):
+        monkeypatch.setattr(search, "PLAIN_QUERIES", plain)
+        rows = search.search_query_table(events, table)
+        if plain == 0:
+            plan = plan_of(rows)
+            assert not any(x in plan for x in ("EvalPython", "InPandas", "InArrow", "NestedLoop"))
+        found.append(sorted((r.seq, r.idx) for r in rows.collect()))
+    assert found[0] == found[1] and len(found[0]) > 50
+
+
+def test_queries_in_columns(spark):
+    cases = [("abc", "a*c", True), ("aBc", "A?C", False), ("a*c", r"a\*c", True), ("abc", r"a\*c", True), ("", "", True), ("x", "", True), ("", "*", True)]
+    cases += [("a\nb", "a?b", True), ("(x)", "(?)", True), ("oδοσ", "*Σ", False), ("ab", "ab\\", True), (None, "*", True), ("a", None, True), ("aXbXc", "a*X?", True)]
+    rows = spark.createDataFrame(cases, "target string, query string, exact boolean")
+    expected = []
+    for target, query, exact in cases:
+        one = spark.createDataFrame([(target,)], "t string")
+        expected.append(None if query is None else one.select(WildcardQuery(query, exact).matches(F.col("t"))).first()[0])
+    pattern_columns.register_sql(spark)
+    got = pattern_columns.match_columns(rows, "target", "query", "exact").withColumn("direct", pattern_columns.wildcard_match("target", "query", "exact"))
+    got = got.withColumn("by_sql", F.expr("if(exact, wildcard_query_match(target, query), wildcard_query_match_nocase(target, query))"))
+    found = {(r.target, r.query, r.exact): (r.matches, r.direct, r.by_sql) for r in got.collect()}
+    assert found == {c: (e,) * 3 for c, e in zip(cases, expected, strict=True)}
