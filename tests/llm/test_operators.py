@@ -195,6 +195,23 @@ def test_topk_search(spark, blocks):
     assert topk_search.topk_search(df.limit(0), df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("blocks", [(16384, 512), (30, 2)])
+def test_topk_search_of_wide_components(spark, blocks):
+    rng = np.random.default_rng(5)
+    rows = [(i, (rng.normal(0, 1, 6) * 10.0 ** rng.integers(-3, 14)).tolist()) for i in range(260)]
+    rows += [(300, [1e30, 0.0, 1.0, 0.0, 0.0, 0.0]), (301, [1e30, 0.0, 2.0, 0.0, 0.0, 0.0]), (350, [3.0, 1.5, 0.0, 0.0, -2.0, 1e-9]), (400, [1e308, -1e308, 5.0, 0.0, 0.0, 0.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = topk_search.topk_search(df, df.filter("vec_id % 50 = 0"), 5, block_rows=blocks[0], query_rows=blocks[1])
+    whole = {i: [math.floor(256 * x) if abs(x) < 1e300 else int(np.floor(np.nan_to_num(256 * np.float64(x)))) for x in v] for i, v in rows}
+    want = []
+    for q, v in whole.items():
+        if q % 50 == 0:
+            scores = sorted((-sum(a * b for a, b in zip(v, u, strict=True)), i) for i, u in whole.items() if i != q)[:5]
+            want += [(q, r + 1, i, max(-(2**63), min(2**63 - 1, -s))) for r, (s, i) in enumerate(scores)]
+    assert sorted(map(tuple, found.collect())) == sorted(want)
+    assert any(x[3] not in (2**63 - 1, -(2**63)) and abs(x[3]) > 2**52 for x in want)
+
+
 def test_impact_index_stops_early_and_stays_exact():
     rng = np.random.default_rng(4)
     values = rng.integers(-160, 160, (3000, 24))
