@@ -8,12 +8,12 @@ non-overlapping occurrences of that pair in a round, from the left, and keeps on
 state of each piece. Both give the same tokens, because merges are numbered in the order in which
 they were learned: contracting a pair never makes a pair of lower rank.
 
-Decoding: ids are cut where a token starts with a space (and after ``SPAN`` tokens at the latest);
-each distinct run is joined with the vocabulary and put together by an ordered aggregation.
+Decoding: the rows (text, position, token) of some texts at a time are joined with the vocabulary and put
+together by an ordered aggregation.
 
 There is no shuffle. The vocabulary is the only thing broadcast; its size is that of the file.
-Texts are handled in slices of about ``SLICE`` characters. A Python worker remembers pieces and runs from
-task to task, at most about ``REMEMBER`` of each; beyond that it forgets the newer half, as frequent ones
+Texts are handled in slices of about ``SLICE`` characters. A Python worker remembers pieces from
+task to task, at most about ``REMEMBER``; beyond that it forgets the newer half, as frequent ones
 come early.
 
 Cases: a null text counts as empty and has no tokens; strings of special tokens are ordinary text;
@@ -40,10 +40,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 SHORT = 64
-SPAN = 64
 SLICE = 2_000_000
 REMEMBER = 500_000
 _PIECES_PER_QUERY = 40_000
+_TOKENS_PER_QUERY = 100_000
 
 _NONE = 2147483647
 _ENCODE_SHORT = f"""
@@ -89,8 +89,8 @@ WITH RECURSIVE steps USING KEY (w) AS (
 SELECT w, toks FROM steps ORDER BY w
 """
 _DECODE = """
-SELECT r, CASE WHEN count(v.bytes) = count(*) THEN from_hex(string_agg(v.bytes, '' ORDER BY pos)) END AS bytes
-FROM runs LEFT JOIN vocabulary AS v USING (id) GROUP BY r ORDER BY r
+SELECT r, CASE WHEN count(v.bytes) = count(*) THEN string_agg(v.bytes, '' ORDER BY pos) END AS bytes
+FROM tokens LEFT JOIN vocabulary AS v USING (id) GROUP BY r
 """
 
 
@@ -217,41 +217,29 @@ class Encoder:
 
 class Decoder:
     def __init__(self, vocabulary: Vocabulary):
-        self.known: dict[bytes, bytes | None] = {}
         self.con = _connection()
-        ids, tokens = list(vocabulary.tokens.values()), list(vocabulary.tokens)
-        self.con.register("given", pa.table({"id": pa.array(ids, pa.uint32()), "bytes": [t.hex() for t in tokens]}))
+        # A token is a text of one character per byte, so that texts can be put together.
+        table = {"id": pa.array(list(vocabulary.tokens.values()), pa.uint32()), "bytes": [t.decode("latin-1") for t in vocabulary.tokens]}
+        self.con.register("given", pa.table(table))
         self.con.execute("CREATE TABLE vocabulary AS SELECT * FROM given")
-        self.starts = np.zeros(max(ids) + 1, bool)
-        self.starts[ids] = [t[:1] == b" " for t in tokens]
-
-    def _runs(self, data: bytes) -> list[bytes]:
-        ids = np.frombuffer(data, "<u4")
-        cuts = np.flatnonzero(self.starts[np.minimum(ids, len(self.starts) - 1)])
-        cuts = np.concatenate(([0], cuts[cuts > 0], [len(ids)]))
-        wide = np.flatnonzero(np.diff(cuts) > SPAN)
-        if len(wide):
-            cuts = np.concatenate([cuts, *(np.arange(cuts[i], cuts[i + 1], SPAN) for i in wide)])
-            cuts = np.unique(cuts)
-        ends = (cuts * 4).tolist()
-        return [data[i:j] for i, j in zip(ends[:-1], ends[1:], strict=True) if j > i]
-
-    def learn(self, runs: set[bytes]) -> None:
-        todo = list(runs.difference(self.known))
-        for at in range(0, len(todo), _PIECES_PER_QUERY):
-            some = todo[at : at + _PIECES_PER_QUERY]
-            item, place, ids = _rows(some, 4)
-            self.con.register("runs", pa.table({"r": item, "pos": place, "id": ids}))
-            found = self.con.sql(_DECODE).to_arrow_table()["bytes"].to_pylist()
-            self.known.update(zip(some, found, strict=True))
+
+    def _query(self, ids: list[bytes]) -> dict[int, bytes | None]:
+        item, place, token = _rows(ids, 4)
+        self.con.register("tokens", pa.table({"r": item, "pos": place, "id": token}))
+        return {r: None if text is None else text.encode("latin-1") for r, text in self.con.sql(_DECODE).fetchall()}
 
     def decode(self, ids: list[bytes | None]) -> list[bytes | None]:
         """The bytes of each id sequence; null if it holds an id that is no token."""
-        _trim(self.known)
-        runs = [self._runs(x) if x is not None and len(x) % 4 == 0 else None for x in ids]
-        self.learn(set().union(*(x for x in runs if x is not None)))
-        parts = [None if x is None else list(map(self.known.__getitem__, x)) for x in runs]
-        return [None if x is None or None in x else b"".join(x) for x in parts]
+        out: list[bytes | None] = [b"" if x is not None and len(x) % 4 == 0 else None for x in ids]
+        todo = [i for i, x in enumerate(ids) if x and out[i] is not None]
+        while todo:
+            # As many sequences as have _TOKENS_PER_QUERY tokens, one at least.
+            sizes = np.cumsum([len(ids[i]) // 4 for i in todo])
+            n = max(1, int(np.searchsorted(sizes, _TOKENS_PER_QUERY, "right")))
+            some, todo = todo[:n], todo[n:]
+            for r, data in self._query([ids[i] for i in some]).items():
+                out[some[r]] = data
+        return out
 
 
 def _slices(batch: pa.RecordBatch, column: int) -> Iterator[pa.RecordBatch]:
