@@ -23,15 +23,19 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import pyarrow.compute
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from logloom.llm.common import stored
+
 MAX_LABELLED = 12_000
 MIN_DOCUMENTS = 5
 #: Penalty on squared weights in the second fit.
 RIDGE = 0.3
 #: Word beginnings of these lengths are features too, so that inflected forms share a weight.
 PREFIXES = (5, 7)
+_DENSE = 1024
 _WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -55,19 +59,18 @@ class SeverityModel:
         return float(above.sum()), float(above[0]), int(grades.argmax())
 
 
-def severity_grades(docs: list[list[str]], toxic: np.ndarray) -> np.ndarray:
-    """Grades 0 (clean), 1 and 2 from binary labels.
+def severity_grades(rows: np.ndarray, cols: np.ndarray, d: int, toxic: np.ndarray) -> np.ndarray:
+    """Grades 0 (clean), 1 and 2 from binary labels; document ``rows[i]`` has feature ``cols[i]`` of ``d``.
 
     A feature is typical if it occurs in ``MIN_DOCUMENTS`` toxic documents or more and is at least
     twenty times as frequent there as in clean ones. Toxic documents with more typical features than
     the median of those that have any are graded 2, the others 1.
     """
-    bad, good = Counter(), Counter()
-    for doc, t in zip(docs, toxic, strict=True):
-        (bad if t else good).update(doc)
+    in_toxic = toxic[rows] > 0
+    bad, good = np.bincount(cols[in_toxic], minlength=d), np.bincount(cols[~in_toxic], minlength=d)
     n_bad, n_good = max(1, int((toxic > 0).sum())), max(1, int((toxic == 0).sum()))
-    typical = {f for f, n in bad.items() if n >= MIN_DOCUMENTS and n / n_bad >= 20 * good[f] / n_good}
-    counts = np.array([sum(f in typical for f in doc) if t else 0 for doc, t in zip(docs, toxic, strict=True)], float)
+    typical = (bad >= MIN_DOCUMENTS) & (bad / n_bad >= 20 * good / n_good)
+    counts = np.bincount(rows[typical[cols] & in_toxic], minlength=len(toxic)).astype(float)
     middle = float(np.median(counts[counts > 0])) if (counts > 0).any() else 0.0
     return np.where(toxic > 0, 1 + (counts > middle), 0)
 
@@ -109,21 +112,27 @@ def _descend(rows, cols, n: int, d: int, grades: np.ndarray, penalty: float, ste
 
 
 def _refit(rows, cols, n: int, d: int, grades: np.ndarray, thresholds: np.ndarray, steps: int = 60) -> tuple[np.ndarray, np.ndarray]:
-    """Weights of few features by Newton steps with a small ridge."""
-    x = np.zeros((n, d))
-    x[rows, cols] = 1
+    """Weights of few features by Newton steps with a small ridge; only ``_DENSE`` documents are dense at a time."""
+    order = np.argsort(rows, kind="stable")
+    rows, cols = rows[order], cols[order]
     w, thresholds = np.zeros(d), thresholds.copy()
+    edges = np.arange(0, n + _DENSE, _DENSE)
+    cuts = np.searchsorted(rows, edges)
     for _ in range(steps):
         gradient, hessian = np.zeros(d + len(thresholds)), np.zeros((d + len(thresholds),) * 2)
-        score = x @ w
-        for j, threshold in enumerate(thresholds):
-            p = 1 / (1 + np.exp(np.clip(threshold - score, -500, 500)))
-            error, bend = p - (grades > j), p * (1 - p)
-            gradient[:d] += x.T @ error
-            gradient[d + j] = -error.sum()
-            hessian[:d, :d] += x.T @ (x * bend[:, None])
-            hessian[:d, d + j] = hessian[d + j, :d] = -(x.T @ bend)
-            hessian[d + j, d + j] = bend.sum()
+        for at, lo, hi in zip(edges[:-1], cuts[:-1], cuts[1:], strict=True):
+            x = np.zeros((min(_DENSE, n - at), d))
+            x[rows[lo:hi] - at, cols[lo:hi]] = 1
+            score, above = x @ w, grades[at : at + _DENSE]
+            for j, threshold in enumerate(thresholds):
+                p = 1 / (1 + np.exp(np.clip(threshold - score, -500, 500)))
+                error, bend = p - (above > j), p * (1 - p)
+                gradient[:d] += x.T @ error
+                gradient[d + j] -= error.sum()
+                hessian[:d, :d] += x.T @ (x * bend[:, None])
+                hessian[:d, d + j] -= x.T @ bend
+                hessian[d + j, d + j] += bend.sum()
+        hessian[d:, :d] = hessian[:d, d:].T
         gradient[:d] += RIDGE * w
         hessian += np.diag(np.append(np.full(d, RIDGE), np.full(len(thresholds), 1e-6)))
         change = np.linalg.solve(hessian, gradient)
@@ -134,33 +143,37 @@ def _refit(rows, cols, n: int, d: int, grades: np.ndarray, thresholds: np.ndarra
     return w, thresholds
 
 
-def fit_ordinal(docs: list[list[str]], grades: np.ndarray, steps: int = 200) -> SeverityModel | None:
-    """Fit on feature lists with their grades; None if there is nothing to tell apart.
+def fit_cells(rows: np.ndarray, cols: np.ndarray, vocabulary: list[str], grades: np.ndarray, steps: int = 200) -> SeverityModel | None:
+    """Fit on documents ``rows[i]`` with features ``cols[i]`` and their grades; None if there is nothing to tell apart.
 
     A strong penalty selects features: it lies above what chance gives the best of ``d`` features
     in ``n`` documents. Newton steps then fit the weights of the few that were selected. Weights are
     never negative: no word makes a text less severe.
     """
-    if len(docs) == 0 or len(np.unique(grades)) < 2:
+    if len(grades) == 0 or len(np.unique(grades)) < 2:
         return None
-    seen = Counter(f for doc in docs for f in doc)
-    vocabulary = sorted(f for f, count in seen.items() if count >= MIN_DOCUMENTS)
-    n, share = len(docs), float((grades > 0).mean())
+    n, share = len(grades), float((grades > 0).mean())
     penalty = (2 * share * (1 - share) * np.log(max(2, len(vocabulary))) / n) ** 0.5
-
-    def cells(names: list[str]) -> np.ndarray:
-        place = {f: i for i, f in enumerate(names)}
-        pairs = [(r, place[f]) for r, doc in enumerate(docs) for f in doc if f in place]
-        return np.array(pairs, np.int64).reshape(-1, 2).T
-
-    weights, thresholds = _descend(*cells(vocabulary), n, len(vocabulary), grades, penalty, steps)
-    selected = [vocabulary[i] for i in np.flatnonzero(weights)]
+    weights, thresholds = _descend(rows, cols, n, len(vocabulary), grades, penalty, steps)
+    selected = np.flatnonzero(weights)
     weights = np.array([-1.0])
     while (weights < 0).any():
-        weights, thresholds = _refit(*cells(selected), n, len(selected), grades, thresholds)
-        selected = [f for f, w in zip(selected, weights, strict=True) if w >= 0]
+        place = np.full(len(vocabulary), -1)
+        place[selected] = np.arange(len(selected))
+        kept = place[cols] >= 0
+        weights, thresholds = _refit(rows[kept], place[cols[kept]], n, len(selected), grades, thresholds)
+        selected = selected[weights >= 0]
     weights = weights[weights >= 0]
-    return SeverityModel(dict(zip(selected, map(float, weights), strict=True)), [float(t) for t in thresholds])
+    return SeverityModel({vocabulary[i]: float(w) for i, w in zip(selected, weights, strict=True)}, [float(t) for t in thresholds])
+
+
+def fit_ordinal(docs: list[list[str]], grades: np.ndarray, steps: int = 200) -> SeverityModel | None:
+    """:func:`fit_cells` on lists of features."""
+    seen = Counter(f for doc in docs for f in doc)
+    vocabulary = sorted(f for f, count in seen.items() if count >= MIN_DOCUMENTS)
+    place = {f: i for i, f in enumerate(vocabulary)}
+    pairs = np.array([(r, place[f]) for r, doc in enumerate(docs) for f in doc if f in place], np.int64).reshape(-1, 2)
+    return fit_cells(pairs[:, 0], pairs[:, 1], vocabulary, np.asarray(grades), steps)
 
 
 def fit_severity(
@@ -168,7 +181,9 @@ def fit_severity(
 ) -> SeverityModel | None:
     """Fit on the documents of about ``max_labelled`` labels (``id_col``, ``label_col``).
 
-    Labels may be grades already; labels 0 and 1 are graded by :func:`severity_grades`.
+    Features are counted and numbered by Spark; those of fewer than ``MIN_DOCUMENTS`` documents stay there, and
+    the others reach the driver as 32-bit numbers. Labels may be grades already; labels 0 and 1
+    are graded by :func:`severity_grades`.
     """
     marked = labels.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(label_col).cast("int").alias("grade")).dropna()
     marked = marked.groupBy("doc_id").agg(F.max("grade").alias("grade"))
@@ -181,10 +196,22 @@ def fit_severity(
         return column.map(lambda t: sorted(features(t)))
 
     # The sample has about max_labelled rows whatever the table: it may be broadcast.
-    table = texts.join(F.broadcast(sample), "doc_id").select("doc_id", "grade", distinct_features("text").alias("words")).toPandas()
-    table = table.sort_values("doc_id")
-    found, grades = [list(x) for x in table["words"]], table["grade"].to_numpy(int)
-    return fit_ordinal(found, severity_grades(found, grades) if grades.max(initial=0) == 1 else grades)
+    table = texts.join(F.broadcast(sample), "doc_id").select("doc_id", "grade", distinct_features("text").alias("words"))
+    table = stored(table.withColumn("place", F.monotonically_increasing_id()), "graded")
+    words = table.select("place", F.explode("words").alias("word"))
+    often = words.groupBy("word").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= MIN_DOCUMENTS)
+    # As large as the sample's vocabulary, not the corpus's.
+    numbered = stored(often.select("word", (F.row_number().over(Window.orderBy("word")) - 1).alias("id")), "features")
+    vocabulary = [r["word"] for r in numbered.select("word").orderBy("id").collect()]
+    ids = words.join(F.broadcast(numbered), "word").groupBy("place").agg(F.sort_array(F.collect_list("id")).alias("ids"))
+    cells = table.select("place", "doc_id", "grade").join(ids, "place", "left").orderBy("doc_id", "place").select("grade", "ids").toArrow()
+    grades = cells["grade"].to_numpy().astype(int)
+    lists = cells["ids"].combine_chunks()
+    lengths = pa.compute.fill_null(pa.compute.list_value_length(lists), 0).to_numpy()
+    rows, cols = np.repeat(np.arange(len(grades), dtype=np.int32), lengths), lists.flatten().to_numpy()
+    if grades.max(initial=0) == 1:
+        grades = severity_grades(rows, cols, len(vocabulary), grades)
+    return fit_cells(rows, cols, vocabulary, grades)
 
 
 def score_severity(docs: DataFrame, model: SeverityModel | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
