@@ -16,6 +16,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from logloom.functions.glob import WildcardQuery  # noqa: E402
 from logloom.operators import cursor, encoding, pruned, quality, search, timestamps  # noqa: E402
+from logloom.operators import stored as stored_log  # noqa: E402
 from logloom.registry import ERROR_THEN_PURCHASE, LOWER, QUERIES, UPPER  # noqa: E402
 from logloom.session import local_session, scratch_path  # noqa: E402
 from logloom.sources import log_tables, views  # noqa: E402
@@ -76,6 +77,9 @@ def main() -> None:
         "ts_delta_encode": lambda: timestamps.delta_encode(disordered),
         "search_encoded": lambda: pruned.search_log(spark, encoded["log_events"], one, LOWER, UPPER),
         "search_encoded_docs": lambda: pruned.search_log(spark, encoded["log_docs"], doc_queries),
+        "stored_seek": lambda: stored_log.seek_stored(spark, encoded["log_events"], LOWER),
+        "stored_next_match": lambda: stored_log.next_match_stored(spark, encoded["log_events"], ["*purchase*"]),
+        "stored_lookup": lambda: stored_log.lookup_variable(spark, encoded["log_events"], "77"),
         "search_outcome": lambda: quality.search_outcome(events, one, LOWER, UPPER),
         "roundtrip_audit_events": lambda: quality.roundtrip_audit(events, 8),
         "roundtrip_audit_docs": lambda: quality.roundtrip_audit(docs, 4),
