@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from logloom.llm.common import stored
+from logloom.llm.common import give_back, stored
 
 MAX_LABELLED = 4000
 BUCKETS = 1 << 15
@@ -131,7 +131,9 @@ def identify(
 
     @F.pandas_udf("array<double>")
     def likelihoods(texts, lettered):
-        return texts.combine(lettered, lambda t, ok: models.log_likelihoods(t) if ok and t else None)
+        found = texts.combine(lettered, lambda t, ok: models.log_likelihoods(t) if ok and t else None)
+        give_back()
+        return found
 
     scored = picked.withColumn("scores", likelihoods("text", "lettered") if n else F.lit(None).cast("array<double>"))
     best = F.array_position("scores", F.array_max("scores")) - 1

@@ -39,7 +39,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from logloom.llm.common import LOWER, UPPER, stored
+from logloom.llm.common import LOWER, UPPER, give_back, giving_back, stored
 from logloom.plans.joins import attach
 
 SHINGLE = 5
@@ -104,7 +104,7 @@ def set_members(docs: DataFrame, id_col: str, text_col: str, n: int) -> DataFram
                 sizes.append(len(hashes))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(keys, pa.int64()), pa.array(sizes, pa.int64())], ["doc_id", "text_key", "key", "n"])
 
-    return rows.mapInArrow(work, "doc_id long, text_key long, key long, n long")
+    return rows.mapInArrow(giving_back(work), "doc_id long, text_key long, key long, n long")
 
 
 def _fragments(docs: DataFrame, text_col: str, n: int, n_fragments: int, share: float = 1.0) -> DataFrame:
@@ -142,7 +142,7 @@ def _fragments(docs: DataFrame, text_col: str, n: int, n_fragments: int, share:
         arrays = [pa.array(c, k) for c, k in zip(cells, kinds, strict=True)]
         return pa.RecordBatch.from_arrays(arrays, ["fragment", "key", "n", "part"])
 
-    return docs.select(text_col).mapInArrow(work, "fragment long, key long, n long, part binary")
+    return docs.select(text_col).mapInArrow(giving_back(work), "fragment long, key long, n long, part binary")
 
 
 def _fragment_grams(table: pa.Table) -> tuple[np.ndarray, ...]:
@@ -165,6 +165,8 @@ def _unique_counts(table: pa.Table) -> pa.Table:
     """Of one fragment: per set, how many of its n-grams no other set has."""
     distinct, sizes, owner, _, frequency = _fragment_grams(table)
     unique = np.bincount(owner[frequency == 1], minlength=len(distinct))
+    del owner, frequency
+    give_back()
     return pa.table({"key": pa.array(distinct, pa.int64()), "n": pa.array(sizes, pa.int64()), "alone": pa.array(unique, pa.int64())})
 
 
@@ -213,7 +215,7 @@ def _prefixes(survivors: DataFrame, similarity: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([*columns, pa.array(np.concatenate(out))], names)
 
     picked = survivors.select("key", "n", "shared", "grams", "frequency")
-    return picked.mapInArrow(work, "key long, n long, shared long, weight double, gram long")
+    return picked.mapInArrow(giving_back(work), "key long, n long, shared long, weight double, gram long")
 
 
 def _parts(survivors: DataFrame) -> DataFrame:
@@ -233,7 +235,7 @@ def _parts(survivors: DataFrame) -> DataFrame:
             arrays = [pa.array(c, k) for c, k in zip((keys, places, lists), kinds, strict=True)]
             yield pa.RecordBatch.from_arrays(arrays, ["key", "part", "list"])
 
-    return survivors.select("key", "grams").mapInArrow(work, "key long, part long, list array<long>")
+    return survivors.select("key", "grams").mapInArrow(giving_back(work), "key long, part long, list array<long>")
 
 
 def _overlaps(pairs: DataFrame, parts: DataFrame) -> DataFrame:
