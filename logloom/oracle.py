@@ -432,6 +432,9 @@ ORACLE_SQL["stream_search"] = ORACLE_SQL["multi_query_first_match"]
 ORACLE_SQL["stream_ts_restore"] = ORACLE_SQL["ts_delta_restore"]
 ORACLE_SQL["stream_early_stop"] = ORACLE_SQL["time_interval_early_stop"]
 ORACLE_SQL["stream_encode_append"] = ORACLE_SQL["decode_roundtrip"]
+_NEVER_CLOSED = "CASE WHEN status = 'EndOfIr' AND stream_id % 3 = 0 THEN 'IncompleteIr' ELSE status END AS status"
+ORACLE_SQL["stream_outcome"] = f"""SELECT stream_id, seq, idx, {_NEVER_CLOSED} FROM ({ORACLE_SQL["search_outcome"]}
+UNION ALL SELECT max(user_id) + n, NULL, NULL, 'EndOfIr' FROM events, (VALUES (1), (2), (3)) AS s(n) GROUP BY n)"""
 ORACLE_SQL["stored_commits"] = _with(
     "log_events",
     rest=f"""SELECT stream_id, seq, ts_ms, message, state

@@ -15,6 +15,7 @@ from logloom.operators import cursor, encoding, pruned, quality, search, stored,
 from logloom.session import scratch_path
 from logloom.sources import log_tables, metadata, text, views
 from logloom.streaming import jobs
+from logloom.streaming.outcome import start_outcome
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -665,10 +666,11 @@ def query_table_long(spark, sf):
 # --- streaming ---------------------------------------------------------------------
 
 
-def _arriving(spark, rows: DataFrame, start, slices: int = 3) -> None:
+def _arriving(spark, rows: DataFrame, start, slices: int = 3) -> tuple[str, str]:
     """Write ``rows`` in ``seq`` order as ``slices`` arrivals; run the job after each.
 
-    Each run picks up the checkpoint of the one before, as a restarted job would.
+    Each run picks up the checkpoint of the one before, as a restarted job would. Gives the
+    folders of the arrivals and of the checkpoint.
     """
     inbox, checkpoint = scratch_path(spark, "inbox"), scratch_path(spark, "offsets")
     lo, hi = rows.agg(F.min("seq"), F.max("seq")).first()
@@ -678,6 +680,7 @@ def _arriving(spark, rows: DataFrame, start, slices: int = 3) -> None:
         part.write.mode("append").parquet(inbox)
         source = spark.readStream.schema(rows.schema).parquet(inbox)
         start(source, checkpoint).awaitTermination()
+    return inbox, checkpoint
 
 
 @registered
@@ -719,3 +722,30 @@ def stream_encode_append(spark, sf):
         spark, views.log_events(spark, sf), lambda source, ckpt: jobs.start_encode_append(source, path, ckpt)
     )
     return log_tables.read_log(spark, path)
+
+
+@registered
+def stream_outcome(spark, sf):
+    """As ``search_outcome_all_streams``, on arriving rows; one stream in three is never closed and falls silent."""
+    events = views.log_events(spark, sf)
+    out, notices = scratch_path(spark, "stream-outcome"), scratch_path(spark, "notices")
+    top = events.agg(F.max("stream_id").alias("top"))
+    empty = top.select(F.explode(F.expr("sequence(top + 1, top + 3)")).alias("stream_id"))
+    ids = events.select("stream_id").distinct().unionByName(empty)
+    heads = ids.select("stream_id", F.lit(False).alias("closed"))
+    heads.write.parquet(notices)
+
+    def start(silent_ms):
+        def job(source, ckpt):
+            ends = spark.readStream.schema(heads.schema).parquet(notices)
+            return start_outcome(source, ["*error*code1? *"], LOWER, UPPER, out, ckpt, silent_ms, ends)
+
+        return job
+
+    # Nothing counts as silent while events arrive; then two in three streams are closed, and the others wait for a timer.
+    inbox, checkpoint = _arriving(spark, events, start(3_600_000))
+    heads.withColumn("closed", F.col("stream_id") % 3 != 0).write.mode("append").parquet(notices)
+    for _ in range(2):
+        start(1)(spark.readStream.schema(events.schema).parquet(inbox), checkpoint).awaitTermination()
+        heads.limit(0).coalesce(1).write.mode("append").parquet(notices)  # the time of the next batch
+    return spark.read.parquet(out)

@@ -5,6 +5,7 @@ from logloom.operators.search import search
 from logloom.session import scratch_path
 from logloom.sources.log_tables import read_log, read_logtypes
 from logloom.streaming import jobs, state
+from logloom.streaming.outcome import start_outcome
 
 DELTAS = T.StructType(
     [T.StructField(n, T.LongType()) for n in ("stream_id", "seq", "ts_delta")] + [T.StructField("message", T.StringType())]
@@ -76,3 +77,30 @@ def test_state_snapshots_and_replay(spark, monkeypatch):
             table.write(epoch, spark.createDataFrame(changed, jobs.RESTORE_STATE))
         want.update({r[0]: r for r in changed})
         assert {r.stream_id: tuple(r) for r in table.before(epoch + 1).collect()} == want
+
+
+def test_outcome_of_closed_and_silent_streams(spark, make_events):
+    heads = "stream_id long, closed boolean"
+    inbox, notices, out, checkpoint = (scratch_path(spark, x) for x in ("in", "heads", "out", "ck"))
+    schema = make_events([]).schema
+
+    def arrive(events, ends, silent_ms):
+        make_events(events).coalesce(1).write.mode("append").parquet(inbox)
+        spark.createDataFrame(ends, heads).coalesce(1).write.mode("append").parquet(notices)
+        sources = (spark.readStream.schema(s).parquet(p) for s, p in ((schema, inbox), (heads, notices)))
+        args = (["error", "x*"], 0, 90, out, checkpoint, silent_ms)
+        start_outcome(next(sources), *args, next(sources)).awaitTermination()
+
+    first = [(0, 2, 5, "error"), (0, 1, 6, "x"), (1, 0, 5, "y"), (1, 1, 99, "x"), (1, 2, 5, "x"), (2, 0, 3, None), (3, 0, 3, "z"), (None, 0, 1, "x")]
+    arrive(first, [(i, False) for i in (4, 5)], 3_600_000)
+    ended = {(0, 1, 1, "Success"), (1, None, None, "QueryNotFound")}
+    assert set(map(tuple, spark.read.parquet(out).collect())) == ended
+    # Streams with an outcome ignore what comes later; a match in the batch of the closing notice still counts.
+    arrive([(1, 3, 4, "x"), (2, 1, 4, "x1"), (2, 2, 4, "x")], [(0, True), (2, True), (4, True), (5, False), (3, None)], 1)
+    ended |= {(2, 1, 1, "Success"), (4, None, None, "EndOfIr")}
+    assert set(map(tuple, spark.read.parquet(out).collect())) == ended
+    arrive([], [], 1)
+    ended |= {(3, None, None, "IncompleteIr"), (5, None, None, "IncompleteIr")}
+    got = list(map(tuple, spark.read.parquet(out).collect()))
+    assert set(got) == ended and len(got) == len(ended)
+    assert spark.conf.get("spark.sql.streaming.noDataMicroBatches.enabled") == "true"
