@@ -5,7 +5,8 @@ Below one path lie Parquet tables, each cut into ``chunk=<n>/attempt=<id>`` fold
 * ``events``    rows with ``logtype_id``, ``vars`` and ``ts_ms`` (width 8) or ``ts_delta``, the time since
   the stream's reference (width 4), in ``event_day`` folders (days since the epoch in UTC, for any time),
   sorted by stream and position and numbered in blocks
-* ``logtypes``  the log types first seen in that chunk; ids go on across chunks
+* ``logtypes``  the log types first seen in that chunk, sorted by hash; ids go on across chunks. A later chunk
+  reads the pages that hold hashes of its own log types, and chunks that brought none have no part in it
 * ``streams``   one row per stream of the chunk with its header fields and a checksum of its events
 * ``zones`` and ``seen``  what each block holds (:mod:`logloom.sources.zones`)
 
@@ -18,6 +19,7 @@ of its own attempt and removes that folder at the end. Of two writers at a time
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,6 +30,7 @@ from logloom.functions.int64 import wrapping_add, wrapping_subtract
 from logloom.operators.encoding import decode_log, encode_log, with_logtype_ids
 from logloom.plans.dense import with_dense_id
 from logloom.plans.joins import MAX_BROADCAST_BYTES
+from logloom.session import materialize
 from logloom.sources.manifest import Chunk, Manifest, commit, new_attempt, read_manifest, remove_folder
 from logloom.sources.zones import SEEN_SCHEMA, ZONE_SCHEMA, block_of_row, file_of_row, seen_of, zones_of
 
@@ -40,8 +43,10 @@ _NARROW_BYTES = 256
 DAY_MS = 86_400_000
 #: Rows of a Parquet page, so that a reader can skip the blocks between those it wants.
 _PAGE_ROWS = "4096"
+#: Hashes that are looked up one by one in the stored pages; for more, the dictionary is read as a whole.
+MAX_LOOKUPS = 256
 
-LOGTYPE_SCHEMA = "logtype_id bigint, logtype string, chunk bigint"
+LOGTYPE_SCHEMA = "logtype_id bigint, logtype string, hash bigint, chunk bigint"
 STREAM_SCHEMA = (
     "stream_id bigint, ts_pattern string, ts_pattern_syntax string, tz_id string, "
     "reference_ts bigint, width int, closed boolean, n_events bigint, n_bytes bigint, checksum decimal(38,0), chunk bigint"
@@ -106,7 +111,17 @@ class Snapshot:
         return self.events(files).withColumn("file", file_of_row())
 
     def logtypes(self) -> DataFrame:
-        return self.table("logtypes", LOGTYPE_SCHEMA)
+        chunks = self.manifest.chunks
+        return self.table("logtypes", LOGTYPE_SCHEMA, [(n, "") for n in sorted(chunks) if chunks[n].n_logtypes])
+
+    def logtypes_among(self, found: DataFrame, max_lookups: int = MAX_LOOKUPS) -> DataFrame:
+        """The stored log types that are in ``found (logtype, hash)``, a stored table."""
+        hashes = [r["hash"] for r in found.select("hash").distinct().limit(max_lookups + 1).collect()]
+        stored = self.logtypes()
+        if len(hashes) <= max_lookups:
+            # Equalities reach the column index of the files; a long IN would only reach it as a range.
+            stored = stored.filter(reduce(Column.__or__, [F.col("hash") == h for h in hashes], F.lit(False)))
+        return stored.join(found, ["hash", "logtype"], "left_semi")
 
     def streams(self) -> DataFrame:
         return self.table("streams", STREAM_SCHEMA)
@@ -199,7 +214,7 @@ def write_chunk(
     spark = events.sparkSession
     attempt = new_attempt()
     earlier = Snapshot(spark, path, base.before(chunk))
-    mine = Snapshot(spark, path, Manifest(chunks={chunk: Chunk(attempt, width)}))
+    mine = Snapshot(spark, path, Manifest(chunks={chunk: Chunk(attempt, width, n_logtypes=-1)}))  # not yet known
 
     def write(rows: DataFrame, table: str, *by: str) -> None:
         options = {"compression": compression, "parquet.page.row.count.limit": _PAGE_ROWS}
@@ -215,20 +230,24 @@ def write_chunk(
     staged = spark.read.schema(encoded.schema).parquet(staging)
 
     found = staged.select("logtype").filter(F.col("logtype").isNotNull()).distinct()
+    found = found.withColumn("hash", F.xxhash64("logtype"))
     start = 1 + max((c.top_logtype for c in earlier.manifest.chunks.values()), default=-1)
+    known = earlier.logtypes()
     if start:
-        found = found.join(earlier.logtypes().select("logtype"), "logtype", "left_anti")
+        found = materialize(found)
+        known = materialize(earlier.logtypes_among(found))
+        found = found.join(known, ["hash", "logtype"], "left_anti").select("logtype", "hash")
     write(with_dense_id(found, "logtype", "logtype_id", start, by_hash=True), "logtypes")
     n_new, type_bytes = mine.logtypes().agg(F.count(F.lit(1)), F.sum(F.octet_length("logtype"))).first()
 
     write(_headers(staged, width, header, references, streams, closed), "streams")
     n_streams, n_events, n_bytes = mine.streams().agg(F.count(F.lit(1)), F.sum("n_events"), F.sum("n_bytes")).first()
-    mine.manifest.chunks[chunk] = Chunk(attempt, width, n_events or 0, n_streams)
+    mine.manifest.chunks[chunk] = Chunk(attempt, width, n_events or 0, n_streams, n_new)
     size = (n_bytes or 0) + (n_events or 0) * _ROW_BYTES
     cores = spark.sparkContext.defaultParallelism
     tasks = max(math.ceil(size / TASK_BYTES), min(cores, math.ceil(size / _SMALL_TASK_BYTES)), 1)
 
-    dictionary = earlier.logtypes().unionByName(mine.logtypes()).drop("chunk")
+    dictionary = known.unionByName(mine.logtypes()).drop("chunk", "hash")
     rows, _ = with_logtype_ids(staged.drop("n_bytes", "hash").withColumn("event_day", day_of(F.col("ts_ms"))), dictionary)
     if width == 4:
         rows = rows.join(broadcast_if_small(mine.streams().select("stream_id", "reference_ts"), n_streams), "stream_id", "left")

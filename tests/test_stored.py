@@ -209,3 +209,29 @@ def test_days_of_all_times(spark):
     times = [0, -1, 1, 86_399_999, 86_400_000, -86_400_000, -86_400_001, 2**63 - 1, -(2**63)]
     got = spark.createDataFrame([(t,) for t in times], "t long").select(log_tables.day_of(F.col("t"))).collect()
     assert [r[0] for r in got] == [t // 86_400_000 for t in times]
+
+
+def test_a_chunk_reads_only_its_part_of_the_dictionary(spark, make_events):
+    path = scratch_path(spark, "log")
+    names = [f"{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}{chr(97 + i // 676)}" for i in range(26 * 26 * 26)]
+    write_log(make_events([(0, i, i, f"{n} step") for i, n in enumerate(names)]).coalesce(1), path)
+    for chunk, messages in enumerate((["abc step", "not seen"], ["not seen"], ["xyz step", "not seen", "new"], []), 1):
+        write_log(make_events([(chunk, i, i, m) for i, m in enumerate(messages)]), path, chunk=chunk)
+    log = Snapshot(spark, path)
+    assert [c.n_logtypes for _, c in sorted(log.manifest.chunks.items())] == [len(names), 1, 0, 1, 0]
+    ids = [r.logtype_id for r in log.logtypes().collect()]
+    assert sorted(ids) == list(range(len(names) + 2))
+    got = read_log(spark, path).filter("stream_id > 0").select("stream_id", "message")
+    assert sorted(map(tuple, got.collect())) == [(1, "abc step"), (1, "not seen"), (2, "not seen"), (3, "new"), (3, "not seen"), (3, "xyz step")]
+
+    asked = spark.createDataFrame([("abc step",), ("xyz step",), ("nowhere",)], "logtype string").withColumn("hash", F.xxhash64("logtype"))
+    for most in (2, 256):
+        found = log.logtypes_among(asked, most)
+        assert {r.logtype for r in found.collect()} == {"abc step", "xyz step"}
+    scan = log.logtypes().filter(" or ".join(f"hash = {r.hash}" for r in asked.collect()))
+    assert scan.count() == 2
+    assert "Or(" in scan._jdf.queryExecution().toString().split("PushedFilters")[1]
+    plan = scan.select("logtype_id")._jdf.queryExecution()
+    plan.toRdd().count()
+    leaf = plan.executedPlan().collectLeaves().head()
+    assert leaf.metrics().apply("numOutputRows").value() <= 3 * 4096 < len(names)
