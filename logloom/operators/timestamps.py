@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from logloom.functions.int64 import wrapping_add, wrapping_subtract
 from logloom.plans.joins import attach
 from logloom.plans.ordered import BLOCK_BITS, previous_value, running_sum
 
@@ -28,7 +29,8 @@ def delta_encode(
 
     The first event counts from the stream's reference timestamp. ``references`` is a
     table ``(stream_id, reference_ts)``, one number for all, or None for each stream's
-    own first time, which makes its first delta zero and needs no join.
+    own first time, which makes its first delta zero and needs no join. Steps wrap at 64 bits, and so
+    do the sums of :func:`delta_restore`, so all times come back.
     """
     with_prev = previous_value(events, "ts_ms", "_prev", bits=bits)
     if references is None:
@@ -36,7 +38,7 @@ def delta_encode(
     else:
         with_prev = _with_reference(with_prev, references)
         start = F.coalesce("reference_ts", F.lit(0).cast("bigint"))
-    delta = F.col("ts_ms") - F.coalesce(F.col("_prev"), start)
+    delta = wrapping_subtract(F.col("ts_ms"), F.coalesce(F.col("_prev"), start))
     return with_prev.withColumn("ts_delta", delta).drop("_prev", "ts_ms", "reference_ts")
 
 
@@ -45,5 +47,5 @@ def delta_restore(
 ) -> DataFrame:
     """Replace ``ts_delta`` by ``ts_ms``: reference timestamp plus the deltas so far."""
     summed = _with_reference(running_sum(deltas, "ts_delta", "_sum", bits=bits), references)
-    restored = F.coalesce("reference_ts", F.lit(0).cast("bigint")) + F.col("_sum")
+    restored = wrapping_add(F.coalesce("reference_ts", F.lit(0).cast("bigint")), F.col("_sum"))
     return summed.withColumn("ts_ms", restored).drop("ts_delta", "_sum", "reference_ts")

@@ -16,6 +16,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from logloom.functions.int64 import high_half, joined_halves, low_half
+
 BLOCK_BITS = 18
 
 _BLOCK, _GROUP = "_block", "_group"
@@ -67,25 +69,33 @@ def running_sum(
     seq: str = "seq",
     bits: int = BLOCK_BITS,
 ) -> DataFrame:
-    """Add ``out``: the sum of ``value`` over the stream up to and with the row."""
+    """Add ``out``: the sum of the 64-bit ``value`` over the stream up to and with the row, modulo 2**64.
+
+    Halves of the numbers are summed apart, so no sum can overflow; a null counts as zero.
+    """
+    halves = {"low": low_half, "high": high_half}
     rows = _with_block(df, seq, bits)
-    up_to_row = (
-        Window.partitionBy(*stream, _BLOCK).orderBy(seq).rowsBetween(Window.unboundedPreceding, 0)
-    )
-    in_block = rows.withColumn("_near", F.sum(value).over(up_to_row))
-    blocks = _with_group(rows.groupBy(*stream, _BLOCK).agg(F.sum(value).alias("_total")), bits)
-    groups = blocks.groupBy(*stream, _GROUP).agg(F.sum("_total").alias("_group_total"))
-    before_group = Window.partitionBy(*stream).orderBy(_GROUP).rowsBetween(Window.unboundedPreceding, -1)
-    before_block = (
-        Window.partitionBy(*stream, _GROUP).orderBy(_BLOCK).rowsBetween(Window.unboundedPreceding, -1)
-    )
-    groups = groups.withColumn("_far", F.sum("_group_total").over(before_group)).drop("_group_total")
-    blocks = blocks.withColumn("_mid", F.sum("_total").over(before_block))
-    carry = blocks.join(groups, [*stream, _GROUP], "left").select(
-        *stream, _BLOCK, (_or_zero("_mid") + _or_zero("_far")).alias("_carry")
-    )
+
+    def sums(names: dict[str, Column], window=None) -> dict[str, Column]:
+        return {name: F.sum(x) if window is None else F.sum(x).over(window) for name, x in names.items()}
+
+    def before(*keys: str, order: str):
+        return Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+
+    up_to_row = Window.partitionBy(*stream, _BLOCK).orderBy(seq).rowsBetween(Window.unboundedPreceding, 0)
+    in_block = rows.withColumns(sums({f"_near_{h}": half(F.col(value)) for h, half in halves.items()}, up_to_row))
+    totals = sums({f"_total_{h}": half(F.col(value)) for h, half in halves.items()})
+    blocks = _with_group(rows.groupBy(*stream, _BLOCK).agg(*[x.alias(n) for n, x in totals.items()]), bits)
+    group_totals = sums({f"_group_total_{h}": F.col(f"_total_{h}") for h in halves})
+    groups = blocks.groupBy(*stream, _GROUP).agg(*[x.alias(n) for n, x in group_totals.items()])
+    far = sums({f"_far_{h}": F.col(f"_group_total_{h}") for h in halves}, before(*stream, order=_GROUP))
+    mid = sums({f"_mid_{h}": F.col(f"_total_{h}") for h in halves}, before(*stream, _GROUP, order=_BLOCK))
+    groups = groups.withColumns(far).select(*stream, _GROUP, *far)
+    carried = [(_or_zero(f"_mid_{h}") + _or_zero(f"_far_{h}")).alias(f"_carry_{h}") for h in halves]
+    carry = blocks.withColumns(mid).join(groups, [*stream, _GROUP], "left").select(*stream, _BLOCK, *carried)
     joined = in_block.join(carry, [*stream, _BLOCK], "left")
-    return joined.withColumn(out, F.col("_near") + F.col("_carry")).drop(_BLOCK, "_near", "_carry")
+    high, low = (_or_zero(f"_near_{h}") + F.col(f"_carry_{h}") for h in ("high", "low"))
+    return joined.withColumn(out, joined_halves(high, low)).drop(_BLOCK, *[f"_{n}_{h}" for n in ("near", "carry") for h in halves])
 
 
 def _or_zero(name: str) -> Column:

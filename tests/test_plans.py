@@ -55,6 +55,23 @@ def test_delta_round_trip(skewed):
     assert {(r.stream_id, r.seq, r.ts_ms, r.message) for r in restored.collect()} == set(rows)
 
 
+@pytest.mark.parametrize("bits", [1, 18])
+def test_delta_round_trip_of_any_time(spark, bits):
+    top, bottom = 2**63 - 1, -(2**63)
+    times = [-5, top, bottom, bottom, top, 0, bottom + 1, top - 1, -1, 1]
+    rows = [(stream, seq, times[(seq + stream) % len(times)], "m") for stream in (0, 1) for seq in range(25)]
+    df = spark.createDataFrame(rows, "stream_id long, seq long, ts_ms long, message string")
+    encoded = delta_encode(df, bottom, bits=bits)
+    steps = {(r.stream_id, r.seq): r.ts_delta for r in encoded.collect()}
+    for stream, part in by_stream(rows).items():
+        prev = bottom
+        for _, seq, ts, _ in part:
+            assert steps[stream, seq] == (ts - prev - bottom) % 2**64 + bottom
+            prev = ts
+    restored = delta_restore(encoded, bottom, bits=bits)
+    assert sorted((r.stream_id, r.seq, r.ts_ms, r.message) for r in restored.collect()) == rows
+
+
 def test_first_per_stream(skewed):
     rows, df = skewed
     got = {(r.stream_id, r["rank"]): r.seq for r in first_per_stream(df, 5).collect()}
