@@ -34,8 +34,9 @@ from logloom.session import materialize
 from logloom.sources.manifest import Chunk, Manifest, commit, new_attempt, read_manifest, remove_folder
 from logloom.sources.zones import SEEN_SCHEMA, ZONE_SCHEMA, block_of_row, file_of_row, seen_of, zones_of
 
-# Message bytes per write task; small tables use all cores but no tiny tasks.
-TASK_BYTES = 512 * 1024 * 1024
+# Message bytes that one write task sorts; with their variables, rows take up to ten times as much in memory. Small
+# tables use all cores but no tiny tasks.
+TASK_BYTES = 64 * 1024 * 1024
 _SMALL_TASK_BYTES = 4 * 1024 * 1024
 _ROW_BYTES = 32
 #: Upper estimate of the size of a row of a few numbers and a file name in memory.

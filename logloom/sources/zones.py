@@ -31,7 +31,8 @@ def block_of_row() -> Column:
 
 def file_of_row() -> Column:
     """Day folder and name of the file that a stored row was read from."""
-    return F.regexp_extract(F.col("_metadata.file_path"), "[^/]+/[^/]+$", 0)
+    # A regular expression would try every character of the long path again for each row.
+    return F.substring_index(F.col("_metadata.file_path"), "/", -2)
 
 
 def variable_key(v: Column) -> Column:
@@ -59,12 +60,32 @@ def zones_of(rows: DataFrame) -> DataFrame:
     )
 
 
+def _bitmaps(places: DataFrame) -> DataFrame:
+    """``filter`` with the bits ``place`` of each ``block, file``, laid out as by ``bitmap_construct_agg``.
+
+    That function keeps its bitmap in a buffer that only a sort of all places can feed. Words of 64 bits are
+    numbers and add up in a hash table; a block has at most ``FILTER_BITS / 64`` of them.
+    """
+    # The first of a word's eight bytes is its highest one, and is written first.
+    bit = F.col("place").bitwiseAND(F.lit(63)).bitwiseXOR(F.lit(56)).cast("int")
+    word = places.select("block", "file", F.shiftright("place", 6).cast("int").alias("word"), F.call_function("shiftleft", F.lit(1).cast("bigint"), bit).alias("bits"))
+    word = word.groupBy("block", "file", "word").agg(F.bit_or("bits").alias("bits"))
+    blocks = word.groupBy("block", "file").agg(F.sort_array(F.collect_list(F.struct("word", "bits"))).alias("words"))
+
+    def text(w: Column, i: Column) -> Column:
+        empty = w["word"] - F.coalesce(F.get("words", i - 1)["word"], F.lit(-1)) - 1
+        return F.concat(F.repeat(F.lit("0" * 16), empty), F.lpad(F.hex(w["bits"]), 16, "0"))
+
+    whole = F.rpad(F.array_join(F.transform("words", text), ""), FILTER_BITS // 4, "0")
+    return blocks.select("block", "file", F.unhex(whole).alias("filter"))
+
+
 def seen_of(rows: DataFrame, zones: DataFrame) -> DataFrame:
     """Filters of ``rows (block, file, logtype_id, vars)``, with the totals of the stored ``zones``."""
     entries = F.concat(F.array_compact(F.array(logtype_entry(F.col("logtype_id")))), F.coalesce(F.transform("vars", variable_key), F.array()))
     entry = rows.select("block", "file", F.explode(entries).alias("entry"))
     places = entry.select("block", "file", F.explode(F.array(*_positions(F.col("entry")))).alias("place"))
-    filters = places.groupBy("block", "file").agg(F.bitmap_construct_agg("place").alias("filter"))
+    filters = _bitmaps(places)
     totals = zones.groupBy("block", "file").agg(
         F.sum("n_events").alias("n_events"), F.min("min_ts").alias("min_ts"), F.max("max_ts").alias("max_ts")
     )

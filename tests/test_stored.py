@@ -107,6 +107,20 @@ def test_filters_never_lose(spark, log):
     assert joined.count() == entries.count()
 
 
+def test_filters_are_made_without_sorting_their_bits(spark, log):
+    path, _ = log
+    log_ = Snapshot(spark, path)
+    rows = log_.events_by_file()
+    made = zones.seen_of(rows, log_.zones())
+    assert not any(x in plan_of(made) for x in ("SortAggregate", "regexp_extract"))
+    entries = F.concat(F.array(zones.logtype_entry(F.col("logtype_id"))), F.transform("vars", zones.variable_key))
+    bits = rows.select("block", "file", F.explode(entries).alias("entry"))
+    bits = bits.select("block", "file", F.explode(F.array(*zones._positions(F.col("entry")))).alias("place"))
+    want = bits.groupBy("block", "file").agg(F.bitmap_construct_agg("place").alias("filter"))
+    found = {(r["block"], r["file"]): bytes(r["filter"]) for r in made.collect()}
+    assert found == {(r["block"], r["file"]): bytes(r["filter"]) for r in want.collect()} and found
+
+
 def test_seek_reads_only_named_files_and_decodes_one_row_per_stream(spark, log):
     path, events = log
     log_ = Snapshot(spark, path)
