@@ -7,6 +7,8 @@ one ``rlike``. :func:`register_sql` makes it a SQL function.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,8 +16,15 @@ from logloom.functions.glob import FINAL_SIGMA, folded
 from logloom.plans.joins import MAX_BROADCAST_BYTES, attach_materialized, measured_bytes
 from logloom.session import materialize
 
-#: Length of the texts by which long query tables are looked up.
-GRAM = 3
+#: Lengths of the texts by which long query tables are looked up, and the largest of a query's beginning.
+SIZES = (1, 2, 3, 8)
+START = 32
+#: Queries that may share a beginning for it to be looked up before rarer texts.
+SHARED = 64
+#: Queries that are tested as one expression next to those that are looked up.
+FEW = 32
+#: Upper estimate of the size of a hash in a broadcast table.
+_KEY_BYTES = 64
 
 # An escaped character, a star, or any other character; a lone last escape is none of them.
 _TOKENS = r"regexp_extract_all({query}, r'(?s)(\\.|[^\\])', 1)"
@@ -83,13 +92,16 @@ def grams(text: Column, n: int) -> Column:
 
 
 def keyed_queries(queries: DataFrame) -> DataFrame:
-    """``idx, exact, size, gram, regex`` of ``queries (idx, query, case_sensitive)``.
+    """``idx, exact, start, size, gram, regex`` of ``queries (idx, query, case_sensitive)``.
 
-    Every message that matches a query holds the query's ``gram``: of the texts of up to three plain
-    characters in the query, one of the longest that the fewest queries have. ``size`` is its length, 0 for
-    queries without plain characters.
+    Every message that matches a query holds the query's ``gram``, at its start if ``start``. A query that begins with
+    plain characters has those (at most ``START``) if at most ``SHARED`` queries begin so; else the gram is that of the
+    query's plain texts of ``SIZES`` characters that the fewest queries have, among the longest, or its
+    beginning if fewer have that. ``size`` is its length, 0 for queries without plain characters.
     """
-    rows = queries.select(
+    # Numbered queries often come from one task.
+    dealt = queries.repartition(2 * queries.sparkSession.sparkContext.defaultParallelism, "idx")
+    rows = dealt.select(
         F.col("idx").cast("int").alias("idx"),
         F.col("case_sensitive").alias("exact"),
         F.when(F.col("case_sensitive"), F.col("query")).otherwise(folded(F.col("query"))).alias("text"),
@@ -101,47 +113,83 @@ def keyed_queries(queries: DataFrame) -> DataFrame:
     )
     rows = rows.withColumn("plain", plain).drop("tokens", "text")
     at = F.expr(
-        f"filter(flatten(transform(sequence(1, {GRAM}), n -> transform(sequence(1, greatest(size(plain) - n + 1, 1)), "
-        "i -> named_struct('size', n, 'chars', slice(plain, i, n))))), g -> size(g.chars) = g.size and not exists(g.chars, c -> c is null))"
+        f"filter(flatten(transform(array({', '.join(map(str, SIZES))}), n -> transform(sequence(1, greatest(size(plain) - n + 1, 1)), "
+        "i -> named_struct('start', false, 'size', n, 'chars', slice(plain, i, n))))), g -> size(g.chars) = g.size and not exists(g.chars, c -> c is null))"
+    )
+    opening = F.expr(
+        f"aggregate(slice(plain, 1, {START}), named_struct('chars', cast(array() as array<string>), 'open', true), "
+        "(s, c) -> if(s.open and c is not null, named_struct('chars', s.chars || array(c), 'open', true), named_struct('chars', s.chars, 'open', false)), "
+        "s -> named_struct('start', true, 'size', size(s.chars), 'chars', s.chars))"
     )
-    rows = rows.withColumn("held", at).withColumn("size", F.coalesce(F.array_max(F.transform("held", lambda g: g["size"])), F.lit(0)))
-    candidates = F.transform(F.filter("held", lambda g: g["size"] == F.col("size")), lambda g: F.array_join(g["chars"], ""))
-    rows = rows.withColumn("gram", F.explode(F.when(F.col("size") == 0, F.array(F.lit(""))).otherwise(F.array_distinct(candidates))))
-    rows = rows.select("idx", "exact", "size", "gram", "regex")
-    shared = rows.groupBy("exact", "gram").agg(F.count(F.lit(1)).alias("n"))
-    rows = rows.join(shared, ["exact", "gram"])
-    rarest = F.min_by("gram", F.struct("n", "gram")).alias("gram")
-    return rows.groupBy("idx", "exact", "size", "regex").agg(rarest)
+    rows = rows.withColumn("held", at).withColumn("top", F.coalesce(F.array_max(F.transform("held", lambda g: g["size"])), F.lit(0)))
+    longest = F.filter("held", lambda g: g["size"] == F.col("top"))
+    held = F.concat(longest, F.filter(F.array(opening), lambda g: g["size"] > 0))
+    texts = F.transform(held, lambda g: F.struct(g["start"].alias("start"), g["size"].alias("size"), F.array_join(g["chars"], "").alias("gram")))
+    none = F.array(F.struct(F.lit(False).alias("start"), F.lit(0).alias("size"), F.lit("").alias("gram")))
+    rows = rows.withColumn("key", F.explode(F.when(F.col("top") == 0, none).otherwise(F.array_distinct(texts))))
+    rows = rows.select("idx", "exact", "regex", "key.start", "key.size", "key.gram")
+    shared = rows.groupBy("exact", "start", "gram").agg(F.count(F.lit(1)).alias("n"))
+    rows = rows.join(shared, ["exact", "start", "gram"])
+    # A message has one beginning of a size but many texts, so a beginning that few share is looked up first.
+    order = F.struct(~(F.col("start") & (F.col("n") <= SHARED)), "n", "gram", "start")
+    return rows.groupBy("idx", "exact", "regex").agg(F.min_by(F.struct("start", "size", "gram"), order).alias("key")).select("idx", "exact", "regex", "key.*")
+
 
+def _key(exact: Column, start: Column, gram: Column) -> Column:
+    return F.xxhash64(exact, start, gram)
 
-def _marked(found: Column, exact: bool) -> Column:
-    return F.transform(found, lambda gram: F.struct(F.lit(exact).alias("exact"), gram.alias("gram")))
+
+def _looks(held: Column, exact: Column, start: Column) -> Column:
+    nothing = F.lit(None).cast("int").alias("idx")
+    return F.transform(held, lambda gram: F.struct(_key(exact, start, gram).alias("key"), gram.alias("gram"), exact.alias("exact"), nothing))
 
 
 def first_in_table(events: DataFrame, keyed: DataFrame, message: str = "message") -> DataFrame:
     """``events`` that match a query of ``keyed`` (stored), with the smallest ``idx``, in one scan.
 
-    The grams of a message find the queries that it may match by an equi-join; only those are tested.
-    Rows are numbered, so repeated events stay apart.
+    The grams of a message find the queries that it may match by an equi-join; only those are tested. Kinds of grams
+    (fold, place, size) that no more than ``FEW`` queries have together are tested as one expression instead.
+    Grams that no query has are dropped by their hashes before messages travel. Rows are numbered, so repeated events stay apart.
     """
     columns = events.columns
     rows = events.filter(F.col(message).isNotNull()).withColumn("_row", F.monotonically_increasing_id())
-    sizes = [r["size"] for r in keyed.select("size").distinct().collect()]  # at most four
-    folds = [r["exact"] for r in keyed.select("exact").distinct().collect()]
-    looks = []
-    for exact in folds:
-        text = F.col(message) if exact else folded(F.col(message))
-        for size in sizes:
-            found = F.array(F.lit("")) if size == 0 else grams(text, size)
-            looks.append(_marked(found, exact))
-    if not looks:
+    # At most two folds of START beginnings and of the sizes of grams.
+    kinds = sorted(keyed.groupBy("exact", "start", "size").agg(F.count(F.lit(1)).alias("n")).collect(), key=lambda r: (r["n"], r["exact"], r["start"], r["size"]))
+    if not kinds:
         return events.limit(0).withColumn("idx", F.lit(None).cast("int"))
-    looked = rows.withColumn("_look", F.explode(F.concat(*looks))).withColumns({"exact_": F.col("_look.exact"), "gram_": F.col("_look.gram")})
-    side = keyed.select(F.col("exact").alias("exact_"), F.col("gram").alias("gram_"), F.col("idx").alias("_idx"), "regex")
+    few, left = [], FEW
+    while kinds and kinds[0]["n"] <= left:
+        left -= kinds[0]["n"]
+        few.append(kinds.pop(0))
+    loose = folded(F.col(message))
+    texts = {True: F.col(message), False: loose}
+    none = F.lit(None).cast("bigint").alias("key"), F.lit(None).cast("string").alias("gram"), F.lit(None).cast("boolean").alias("exact")
+    looks = []
+    if few:
+        of_kind = reduce(Column.__or__, [(F.col("exact") == k["exact"]) & (F.col("start") == k["start"]) & (F.col("size") == k["size"]) for k in few])
+        tests = keyed.filter(of_kind).select("idx", "exact", "regex").collect()
+        found = F.array_min(F.array(*[F.when(F.rlike(texts[t["exact"]], F.lit(t["regex"])), F.lit(t["idx"])) for t in tests]))
+        looks.append(F.filter(F.array(F.struct(*none, found.alias("idx"))), lambda look: look["idx"].isNotNull()))
+    for k in kinds:
+        text, exact, start = texts[k["exact"]], F.lit(k["exact"]), F.lit(k["start"])
+        if k["size"] == 0:
+            held = F.array(F.lit(""))
+        elif k["start"]:
+            held = F.array(F.substring(text, 1, k["size"]))
+        else:
+            held = grams(text, k["size"])
+        looks.append(_looks(held, exact, start))
+    looked = rows.withColumn("_look", F.explode(F.concat(*looks))).select(*columns, "_row", *[F.col(f"_look.{c}").alias(f"_{c}") for c in ("key", "gram", "exact", "idx")])
+    side = keyed.filter(~of_kind) if few else keyed
+    side = side.select(_key(F.col("exact"), F.col("start"), F.col("gram")).alias("_key"), F.col("gram").alias("_held"), F.col("idx").alias("_asked"), "regex")
     if measured_bytes(keyed) <= MAX_BROADCAST_BYTES:
         side = F.broadcast(side)
-    met = looked.drop("_look").join(side, ["exact_", "gram_"])
-    text = F.when(F.col("exact_"), F.col(message)).otherwise(folded(F.col(message)))
-    hits = met.filter(F.rlike(text, F.col("regex")))
+    elif keyed.select("exact", "start", "gram").distinct().count() * _KEY_BYTES <= MAX_BROADCAST_BYTES:
+        keys = side.select("_key").distinct().withColumn("_known", F.lit(True))
+        looked = looked.join(F.broadcast(keys), "_key", "left").filter("_known or _idx is not null").drop("_known")
+    # Rows that only carry what the expression found have no key and meet no query.
+    met = looked.join(side, "_key", "left")
+    text = F.when(F.col("_exact"), F.col(message)).otherwise(loose)
+    hits = met.filter(F.col("_idx").isNotNull() | ((F.col("_gram") == F.col("_held")) & F.rlike(text, F.col("regex"))))
     whole = F.first(F.struct(*columns)).alias("event")
-    return hits.groupBy("_row").agg(F.min("_idx").alias("idx"), whole).select("event.*", "idx")
+    return hits.groupBy("_row").agg(F.min(F.coalesce("_idx", "_asked")).alias("idx"), whole).select("event.*", "idx")

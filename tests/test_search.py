@@ -1,3 +1,4 @@
+import collections
 import random
 
 import pytest
@@ -184,3 +185,20 @@ def test_queries_in_columns(spark):
     got = got.withColumn("by_sql", F.expr("if(exact, wildcard_query_match(target, query), wildcard_query_match_nocase(target, query))"))
     found = {(r.target, r.query, r.exact): (r.matches, r.direct, r.by_sql) for r in got.collect()}
     assert found == {c: (e,) * 3 for c, e in zip(cases, expected, strict=True)}
+
+
+@pytest.mark.parametrize(("few", "limit"), [(0, 0), (32, 0), (4, 64), (32, 1 << 26)])
+def test_long_query_tables_look_up_what_few_queries_share(spark, make_events, monkeypatch, few, limit):
+    messages = [f"user={i % 40} did x{i % 3} took {i % 7}.25 ms" for i in range(400)] + ["", "~", "User=3 took 5.25", "user=1"]
+    events = make_events([(0, i, i, m) for i, m in enumerate(messages)] + [(0, 1, 1, messages[1]), (0, 900, 1, None)])
+    queries = [(f"user={i} *took {i % 7}.25*", i % 2 == 0) for i in range(40)] + [(f"*x{i % 3} took {i % 7}.25 ms", True) for i in range(0, 21, 4)]
+    queries += [("", True), ("*~*", False), ("USER=1", False), ("?", True), ("user=1", True)]
+    table = spark.createDataFrame([(i, q, c) for i, (q, c) in enumerate(queries)], "idx int, query string, case_sensitive boolean")
+    plain = sorted((r.seq, r.idx) for r in search.search_query_table(events, table).collect())
+    keyed = pattern_columns.keyed_queries(table).collect()
+    shared = collections.Counter((r.exact, r.start, r.gram) for r in keyed)
+    assert len(keyed) == len(queries) and max(shared.values()) <= 3
+    monkeypatch.setattr(search, "PLAIN_QUERIES", 0)
+    monkeypatch.setattr(pattern_columns, "FEW", few)
+    monkeypatch.setattr(pattern_columns, "MAX_BROADCAST_BYTES", limit)
+    assert sorted((r.seq, r.idx) for r in search.search_query_table(events, table).collect()) == plain and len(plain) > 50
