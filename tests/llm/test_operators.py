@@ -7,6 +7,7 @@ import re
 import zlib
 from collections import Counter, defaultdict
 
+import duckdb
 import numpy as np
 import public_tokenizers
 import pytest
@@ -15,7 +16,8 @@ from pyspark.sql import functions as F
 
 from logloom.llm import bpe, exact_dedup, language_id, license_scan, mixing, near_dup, suffix_dedup, suffix_tree_lm, topk_search, toxicity
 from logloom.llm.frequent import frequent_candidates
-from logloom.llm.queries import MIX_WEIGHTS, multi_vocabulary
+from logloom.llm.queries import MIX_WEIGHTS, ORACLE_SQL, QUERIES, multi_vocabulary
+from tests.oracle_check import compare
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -212,6 +214,24 @@ def test_topk_search_of_wide_components(spark, blocks):
     assert any(x[3] not in (2**63 - 1, -(2**63)) and abs(x[3]) > 2**52 for x in want)
 
 
+def test_topk_query_of_odd_rows_equals_its_sql(spark, tmp_path):
+    rng = np.random.default_rng(11)
+    rows = [(i, rng.normal(0, 0.5, int(rng.choice([2, 3, 5, 8]))).tolist()) for i in range(260)]
+    rows += [(50, rows[50][1]), (100, [4.0, -4.0, 2.0]), (7, rows[7][1]), (-50, [1.0, 2.0]), (None, [9.0, 9.0]), (300, None), (301, [None, 9.0]), (302, [math.inf, 9.0])]
+    path = str(tmp_path / "embeddings.parquet")
+    spark.createDataFrame(rows, "vec_id long, embedding array<float>").coalesce(1).write.parquet(path)
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW embeddings AS SELECT * FROM '{path}/*.parquet'")
+    assert compare(QUERIES["op5_topk_search"](spark, str(tmp_path)), con, ORACLE_SQL["op5_topk_search"]) is None
+
+
+def test_topk_query_of_empty_vectors(spark):
+    df = spark.createDataFrame([(0, []), (1, [1.0]), (2, []), (50, [-1.0])], "vec_id long, embedding array<double>")
+    found = topk_search.topk_search(df, df.filter("vec_id % 50 = 0"), same_length=False)
+    want = [(0, 1, 1, 0), (0, 2, 2, 0), (0, 3, 50, 0), (50, 1, 0, 0), (50, 2, 2, 0), (50, 3, 1, -(2**16))]
+    assert sorted(map(tuple, found.collect())) == want
+
+
 def test_impact_index_stops_early_and_stays_exact():
     rng = np.random.default_rng(4)
     values = rng.integers(-160, 160, (3000, 24))
