@@ -5,17 +5,17 @@ their hash order; it is cut into fragments (``n_fragments`` grows with the text)
 document sends each fragment its part of the set. A fragment holds all occurrences of its
 n-grams, so it knows their exact document frequency. N-grams that occur once overlap with nothing:
 sets with more than ``1 - similarity`` of their n-grams unique cannot be similar to any other. The
-first fragments, ``FIRST`` of the order, already show this for most sets, which are then gone; only
+first n-grams, ``FIRST`` of the order, counted one by one, already show this for most sets, which are then gone; only
 the rest send all fragments, and n-grams that occur once among them are dropped.
 
 Candidates: with unique n-grams first, then by ``(frequency, hash)``, two similar sets share one of
 the first ``n - ceil(similarity * n) + 1`` n-grams of each. Only pairs of a set and the leader of
-such an n-gram are compared first: overlaps are counted per fragment and
+such an n-gram are compared first, the leader of most of its n-grams before the others: overlaps are counted per fragment and
 summed per pair, exactly. The leader is the member whose n-grams are the most frequent on average,
 so of edited copies it is the one they were made from. Linked sets are joined into components; then
 only sets of *different* components that share such an n-gram are compared, unless their numbers of
-shared n-grams, or the triangle inequality of the Jaccard distance through their leader, prove that they
-are not similar. So a group of copies costs its size, not its square, and no link between different
+shared n-grams inside and outside of their leader, or the triangle inequality of the Jaccard distance through
+it, prove that they are not similar. So a group of copies costs its size, not its square, and no link between different
 components is lost.
 
 Sets are named by a 64-bit hash of their content; documents with equal sets are one set. No step
@@ -30,7 +30,6 @@ columns are ignored. Hashes have 64 bits: a pair of different shingles agrees wi
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -44,9 +43,8 @@ from logloom.plans.joins import attach
 
 SHINGLE = 5
 SIMILARITY = 80
-FRAGMENT_BYTES = 16 << 20
-#: The same in n-grams, for the sets that are left after the first fragments.
-FRAGMENT_GRAMS = 3_000_000
+#: Of the n-grams, eight bytes each, of the sets that are left after the first n-grams.
+FRAGMENT_BYTES = 24_000_000
 #: Share of the global order that is looked at first.
 FIRST = 5 / 16
 #: Fragments in which the overlaps of candidate pairs are counted.
@@ -107,13 +105,34 @@ def set_members(docs: DataFrame, id_col: str, text_col: str, n: int) -> DataFram
     return rows.mapInArrow(giving_back(work), "doc_id long, text_key long, key long, n long")
 
 
-def _fragments(docs: DataFrame, text_col: str, n: int, n_fragments: int, share: float = 1.0) -> DataFrame:
-    """``fragment, key, n, part``: the n-grams of a set in each fragment of the first ``share`` of the order,
-    eight bytes each."""
+def _first_grams(docs: DataFrame, text_col: str, n: int, share: float) -> DataFrame:
+    """``key, gram``: the n-grams of the set of each row in the first ``share`` of the order."""
+    top = np.uint64(min(int(share * (1 << 64)), (1 << 64) - 1))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler(n)
-        top = min(int(share * (1 << 64)), (1 << 64) - 1)
+        for batch in batches:
+            for at in range(0, batch.num_rows, 256):
+                keys, ends, grams = [], [], []
+                for text in batch.column(0).slice(at, 256):
+                    hashes = shingler.hashes(text.as_py())
+                    if len(hashes):
+                        keys.append(_set_key(hashes))
+                        grams.append(hashes[: np.searchsorted(hashes, top)])
+                        ends.append(len(grams[-1]))
+                if keys:
+                    owners = np.repeat(np.array(keys, np.int64), ends)
+                    yield pa.RecordBatch.from_arrays([pa.array(owners), pa.array(np.concatenate(grams).view(np.int64))], ["key", "gram"])
+
+    return docs.select(text_col).mapInArrow(giving_back(work), "key long, gram long")
+
+
+def _fragments(docs: DataFrame, text_col: str, n: int, n_fragments: int) -> DataFrame:
+    """``fragment, key, n, part``: the n-grams of a set in each fragment of the order, eight bytes each."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingler = Shingler(n)
+        top = (1 << 64) - 1
         bounds = np.array([top * i // n_fragments for i in range(1, n_fragments)], np.uint64)
         for batch in batches:
             cells: list[list] = [[], [], [], []]
@@ -123,8 +142,7 @@ def _fragments(docs: DataFrame, text_col: str, n: int, n_fragments: int, share:
                 if not len(hashes):
                     continue
                 key = _set_key(hashes)
-                end = len(hashes) if share >= 1 else int(np.searchsorted(hashes, np.uint64(top)))
-                cuts = np.concatenate(([0], np.searchsorted(hashes[:end], bounds), [end]))
+                cuts = np.concatenate(([0], np.searchsorted(hashes, bounds), [len(hashes)]))
                 full = np.flatnonzero(np.diff(cuts))
                 data = hashes.tobytes()
                 cells[0] += full.tolist()
@@ -161,15 +179,6 @@ def _fragment_grams(table: pa.Table) -> tuple[np.ndarray, ...]:
     return distinct, table["n"].to_numpy()[first], owner, grams, np.repeat(counts, counts)
 
 
-def _unique_counts(table: pa.Table) -> pa.Table:
-    """Of one fragment: per set, how many of its n-grams no other set has."""
-    distinct, sizes, owner, _, frequency = _fragment_grams(table)
-    unique = np.bincount(owner[frequency == 1], minlength=len(distinct))
-    del owner, frequency
-    give_back()
-    return pa.table({"key": pa.array(distinct, pa.int64()), "n": pa.array(sizes, pa.int64()), "alone": pa.array(unique, pa.int64())})
-
-
 def _shared_parts(table: pa.Table) -> pa.Table:
     """Of one fragment: per set, its n-grams that other sets have too, with their frequency."""
     distinct, sizes, owner, grams, frequency = _fragment_grams(table)
@@ -283,12 +292,14 @@ def _linked(common: Column, n_a: Column, n_b: Column, similarity: int) -> Column
     return 100 * common >= similarity * (n_a + n_b - common)
 
 
-def _candidates(docs: DataFrame, members: DataFrame, text_col: str, n: int, similarity: int, n_fragments: int) -> tuple[DataFrame, int]:
-    """The rows of ``docs`` whose sets may be similar to another, by the first fragments of the order, and the
+def _candidates(docs: DataFrame, members: DataFrame, text_col: str, n: int, similarity: int) -> tuple[DataFrame, int]:
+    """The rows of ``docs`` whose sets may be similar to another, by the first n-grams of the order, and the
     number of their n-grams."""
-    first = _fragments(docs, text_col, n, max(1, math.ceil(n_fragments * FIRST)), FIRST)
-    alone = first.groupBy("fragment").applyInArrow(_unique_counts, "key long, n long, alone long")
-    counts = alone.groupBy("key").agg(F.first("n").alias("n"), F.sum("alone").alias("alone"))
+    # One row per n-gram and document, so rows grow with the text; rows of equal sets are equal.
+    first = _first_grams(docs, text_col, n, FIRST).repartition("gram")
+    alone = first.groupBy("gram").agg(F.min("key").alias("key"), F.max("key").alias("last")).filter("key = last")
+    sizes = members.filter("key is not null").groupBy("key").agg(F.first("n").alias("n"))
+    counts = alone.groupBy("key").agg(F.count(F.lit(1)).alias("alone")).join(sizes, "key")
     gone = counts.filter(F.col("n") - F.col("alone") < least_overlap(F.col("n"), similarity)).select("key")
     left = members.filter("key is not null").join(gone, "key", "left_anti")
     left = stored(left.groupBy("text_key").agg(F.first("n").alias("n"), F.count(F.lit(1)).alias("rows")), "near-left")
@@ -298,10 +309,23 @@ def _candidates(docs: DataFrame, members: DataFrame, text_col: str, n: int, simi
     return attach(rows, left.select("text_key"), ["text_key"], "left_semi"), n_grams
 
 
-def set_components(docs: DataFrame, members: DataFrame, text_col: str, n: int, similarity: int, n_fragments: int) -> DataFrame:
+def _measured(pairs: DataFrame, sizes: DataFrame, parts: DataFrame, name: str) -> DataFrame:
+    """``a, b, n_a, n_b, common`` of the pairs ``a, b, n_a``."""
+    sized = pairs.join(sizes.select(F.col("k").alias("b"), F.col("size").alias("n_b")), "b")
+    return stored(sized.join(_overlaps(pairs.select("a", "b"), parts), ["a", "b"], "left").fillna(0, "common"), name)
+
+
+def _apart(pairs: DataFrame, found: DataFrame) -> DataFrame:
+    """The pairs that lie in different components of ``found``."""
+    one, other = (found.select(F.col("key").alias(c), F.col("component").alias(f"of_{c}")) for c in "ab")
+    with_both = pairs.join(one, "a", "left").join(other, "b", "left")
+    return with_both.filter(F.coalesce("of_a", "a") != F.coalesce("of_b", "b")).drop("of_a", "of_b")
+
+
+def set_components(docs: DataFrame, members: DataFrame, text_col: str, n: int, similarity: int, fragment_bytes: int) -> DataFrame:
     """``key, component`` of every set that is linked with another; ``members`` are the stored sets of ``docs``."""
-    few, n_grams = _candidates(docs, members, text_col, n, similarity, n_fragments)
-    n_fragments = max(1, -(-n_grams // FRAGMENT_GRAMS))
+    few, n_grams = _candidates(docs, members, text_col, n, similarity)
+    n_fragments = max(1, -(-8 * n_grams // fragment_bytes))
     schema = "key long, n long, grams array<long>, frequency array<int>"
     shared = _fragments(few, text_col, n, n_fragments).groupBy("fragment").applyInArrow(_shared_parts, schema)
     sets = shared.groupBy("key").agg(
@@ -317,19 +341,25 @@ def set_components(docs: DataFrame, members: DataFrame, text_col: str, n: int, s
     sizes = survivors.select(F.col("key").alias("k"), F.col("n").alias("size"))
     leaders = prefixes.groupBy("gram").agg(F.max_by("key", F.struct("weight", "key")).alias("leader"), F.count(F.lit(1)).alias("members"))
     led = stored(prefixes.join(leaders.filter("members > 1"), "gram").drop("members"), "near-led")
-    pairs = led.filter("key <> leader").select(F.col("key").alias("a"), F.col("leader").alias("b"), F.col("n").alias("n_a")).distinct()
-    sized = pairs.join(sizes.select(F.col("k").alias("b"), F.col("size").alias("n_b")), "b")
-    measured = stored(sized.join(_overlaps(pairs.select("a", "b"), parts), ["a", "b"], "left").fillna(0, "common"), "near-measured")
-    links = measured.filter(_linked(F.col("common"), F.col("n_a"), F.col("n_b"), similarity)).select("a", "b")
-    first = stored(components(links), "near-components")
+    pairs = led.filter("key <> leader").groupBy(F.col("key").alias("a"), F.col("leader").alias("b"))
+    pairs = stored(pairs.agg(F.first("n").alias("n_a"), F.count(F.lit(1)).alias("times")), "near-pairs")
+
+    def links_of(measured: DataFrame) -> DataFrame:
+        return measured.filter(_linked(F.col("common"), F.col("n_a"), F.col("n_b"), similarity)).select("a", "b")
+
+    # Each set is first compared with the leader of most of its n-grams; of its other leaders, only with
+    # those that this has not linked it with, so the members of a group of copies are compared once each.
+    closest = pairs.groupBy("a").agg(F.max_by("b", F.struct("times", "b")).alias("b"), F.first("n_a").alias("n_a"))
+    known = _measured(closest, sizes, parts, "near-closest")
+    linked = stored(components(links_of(known)), "near-components")
+    others = _apart(pairs.drop("times").join(known.select("a", "b"), ["a", "b"], "left_anti"), linked)
+    more = _measured(others, sizes, parts, "near-measured")
+    tied = linked.select(F.col("key").alias("a"), F.col("component").alias("b"))
+    first = stored(components(tied.unionByName(links_of(more))), "near-components")
+    known = known.unionByName(more)
 
     # What is left: sets of different components that share a prefix n-gram and may yet be similar.
-    known = measured.select(F.col("a").alias("key"), F.col("b").alias("leader"), (1 - F.col("common") / (F.col("n_a") + F.col("n_b") - F.col("common"))).alias("far"))
-    members = (
-        led.join(known, ["key", "leader"], "left")
-        .join(first, "key", "left")
-        .select("gram", "key", "n", "shared", F.coalesce("component", "key").alias("component"), F.coalesce("far", F.lit(0.0)).alias("far"))
-    )
+    members = led.join(first, "key", "left").select("gram", "leader", "key", "n", "shared", F.coalesce("component", "key").alias("component"))
     members = stored(members, "near-members")
     mixed = members.groupBy("gram").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo <> hi").select("gram")
     open_ = members.join(mixed, "gram")
@@ -337,14 +367,24 @@ def set_components(docs: DataFrame, members: DataFrame, text_col: str, n: int, s
     per_part = open_.groupBy("gram", "component").agg(F.count(F.lit(1)).alias("m"))
     largest = per_part.groupBy("gram").agg(F.max_by("component", F.struct("m", "component")).alias("main"))
     open_ = stored(open_.join(largest, "gram"), "near-open")
-    x = open_.filter("component <> main").select("gram", *[F.col(c).alias(f"x_{c}") for c in ("key", "n", "shared", "component", "far")])
-    y = open_.select("gram", "main", *[F.col(c).alias(f"y_{c}") for c in ("key", "n", "shared", "component", "far")])
+    # Only here are distances to leaders of the same component needed.
+    unknown = open_.filter("key <> leader").select(F.col("key").alias("a"), F.col("leader").alias("b"), F.col("n").alias("n_a")).distinct()
+    known = known.unionByName(_measured(unknown.join(known.select("a", "b"), ["a", "b"], "left_anti"), sizes, parts, "near-inner"))
+    # A leader shares all its n-grams with itself.
+    far = (1 - F.col("common") / (F.col("n_a") + F.col("n_b") - F.col("common"))).alias("far")
+    open_ = open_.join(known.select(F.col("a").alias("key"), F.col("b").alias("leader"), "common", far), ["key", "leader"], "left")
+    open_ = open_.withColumns({"far": F.coalesce("far", F.lit(0.0)), "common": F.coalesce("common", "n")})
+    open_ = stored(open_.withColumn("other", F.greatest(F.col("shared") - F.col("common"), F.lit(0))), "near-far")
+    x = open_.filter("component <> main").select("gram", *[F.col(c).alias(f"x_{c}") for c in ("key", "n", "shared", "component", "far", "common", "other")])
+    y = open_.select("gram", "main", *[F.col(c).alias(f"y_{c}") for c in ("key", "n", "shared", "component", "far", "common", "other")])
     may = (
         (F.col("x_component") != F.col("y_component"))
         & ((F.col("y_component") == F.col("main")) | (F.col("x_key") < F.col("y_key")))
         & (100 * F.least("x_n", "y_n") >= similarity * F.greatest("x_n", "y_n"))
         & _linked(F.least("x_shared", "y_shared"), F.col("x_n"), F.col("y_n"), similarity)
         & (F.abs(F.col("x_far") - F.col("y_far")) <= 1 - similarity / 100 + 1e-9)
+        # What two sets share lies in both's common part with the leader, or in both's shared n-grams outside it.
+        & _linked(F.least("x_common", "y_common") + F.least("x_other", "y_other"), F.col("x_n"), F.col("y_n"), similarity)
     )
     rest = x.join(y, "gram").filter(may)
     rest = rest.select(
@@ -370,9 +410,8 @@ def near_duplicates(
 
     ``keeper`` is true for the row of each component with the smallest id.
     """
-    total = docs.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
     members = stored(set_members(docs, id_col, text_col, n), "near-rows")
-    found = set_components(docs, members, text_col, n, similarity, max(1, -(-total // fragment_bytes)))
+    found = set_components(docs, members, text_col, n, similarity, fragment_bytes)
     # A row without words is a group of its own; other rows are grouped by their set's component.
     rows = members.join(found, "key", "left").withColumn("group", F.coalesce("component", "key"))
     row = F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id"), F.col("text_key"))

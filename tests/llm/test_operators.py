@@ -364,6 +364,39 @@ def test_chains_of_near_copies(spark):
     assert got == expected_near(rows)
 
 
+def test_copies_that_are_not_similar_are_told_apart_by_their_leader(spark, monkeypatch):
+    """Edits of one text, some linked with it and some not: the ones are not compared with the others."""
+    rng = random.Random(13)
+    base = [f"w{i}" for i in range(150)]
+
+    def edited(places, mark):
+        return [f"{mark}{i}" if i in places else w for i, w in enumerate(base)]
+
+    rows = [base, *[edited({rng.randrange(150)}, f"y{i}x") for i in range(30)]]
+    for j in range(20):
+        far = edited({3 + j % 30, 40 + j, 80 + j, 120 + j}, f"x{j}x")
+        rows += [far, [*far[:-1], f"end{j}"]]
+    rows = [(i, " ".join(r)) for i, r in enumerate(rows)]
+    counts, stored = {}, near_dup.stored
+
+    def counting(df, name):
+        out = stored(df, name)
+        counts[name] = out.count()
+        return out
+
+    monkeypatch.setattr(near_dup, "stored", counting)
+    found = near_dup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in found.collect()), key=repr) == expected_near(rows)
+    assert len({c for _, _, c in expected_near(rows)}) > 10
+    assert counts["near-rest"] <= 40 * 39 // 2, counts
+
+
+def test_first_grams_are_one_row_each(spark):
+    rows = [(" ".join(f"w{i * 7 + k}" for k in range(60)),) for i in range(50)] + [(None,), ("",), ("one two",)]
+    found = near_dup._first_grams(spark.createDataFrame(rows, "text string"), "text", 5, 1.0)
+    assert found.count() == 50 * 56 + 1 and found.distinct().count() == found.count()
+
+
 def test_components(spark):
     rng = random.Random(12)
     edges = [(i, i + 1) for i in range(60)] + [(rng.randrange(100, 200), rng.randrange(100, 200)) for _ in range(60)] + [(300, 300)]
