@@ -14,9 +14,9 @@ such an n-gram are compared first, the leader of most of its n-grams before the
 summed per pair, exactly. The leader is the member whose n-grams are the most frequent on average,
 so of edited copies it is the one they were made from. Linked sets are joined into components; then
 only sets of *different* components that share such an n-gram are compared, unless their numbers of
-shared n-grams inside and outside of their leader, or the triangle inequality of the Jaccard distance through
-it, prove that they are not similar. So a group of copies costs its size, not its square, and no link between different
-components is lost.
+shared n-grams inside and outside of their leader, the classes of the n-grams in which they differ from it, or
+the triangle inequality of the Jaccard distance through it, prove that they are not similar. So a group of copies
+costs its size, not its square, and no link between different components is lost.
 
 Sets are named by a 64-bit hash of their content; documents with equal sets are one set. No step
 gathers documents, links or components on the driver.
@@ -255,6 +255,32 @@ def _overlaps(pairs: DataFrame, parts: DataFrame) -> DataFrame:
     return partial.groupBy("a", "b").agg(F.sum(F.size(F.array_intersect("in_a", "in_b"))).alias("common"))
 
 
+def _differences(pairs: DataFrame, parts: DataFrame) -> DataFrame:
+    """``a, b, lack, more`` of the pairs: 64 classes per part, a bit for each that holds an n-gram of ``b`` that ``a``
+    lacks, or one of ``a`` that ``b`` lacks."""
+
+    def classes(grams: Column) -> Column:
+        def add(bits: Column, gram: Column) -> Column:
+            return bits.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("bigint"), gram.bitwiseAND(F.lit(63)).cast("int")))
+
+        return F.aggregate(grams, F.lit(0).cast("bigint"), add)
+
+    def in_part(column: str) -> Column:
+        # A part without any n-gram has no class.
+        return F.array(*[F.coalesce(F.max(F.when(F.col("part") == p, F.col(column))), F.lit(0).cast("bigint")) for p in range(PARTS)]).alias(column)
+
+    sides = [pairs.select("a", "b", F.col(c).alias("key")).join(parts, "key").select("a", "b", "part", F.lit(c).alias("side"), "list") for c in "ab"]
+    both = sides[0].unionByName(sides[1]).groupBy("a", "b", "part")
+    lists = [F.coalesce(F.first(F.when(F.col("side") == c, F.col("list")), True), F.array().cast("array<bigint>")).alias(f"in_{c}") for c in "ab"]
+    bits = [classes(F.array_except(*names)).alias(name) for name, names in (("lack", ("in_b", "in_a")), ("more", ("in_a", "in_b")))]
+    return both.agg(*lists).select("a", "b", "part", *bits).groupBy("a", "b").agg(in_part("lack"), in_part("more"))
+
+
+def _only_in(one: str, other: str) -> Column:
+    """The number of classes that are set in ``one`` and not in ``other``."""
+    return F.aggregate(F.zip_with(one, other, lambda x, y: F.bit_count(x.bitwiseAND(F.bitwise_not(y)))), F.lit(0), lambda n, x: n + x)
+
+
 def components(links: DataFrame, rounds: int = 50) -> DataFrame:
     """``key, component`` of every key in ``links`` (``a, b``): the smallest key it is linked with.
 
@@ -374,9 +400,16 @@ def set_components(docs: DataFrame, members: DataFrame, text_col: str, n: int, s
     far = (1 - F.col("common") / (F.col("n_a") + F.col("n_b") - F.col("common"))).alias("far")
     open_ = open_.join(known.select(F.col("a").alias("key"), F.col("b").alias("leader"), "common", far), ["key", "leader"], "left")
     open_ = open_.withColumns({"far": F.coalesce("far", F.lit(0.0)), "common": F.coalesce("common", "n")})
+    none = F.array_repeat(F.lit(0).cast("bigint"), PARTS)
+    bits = stored(_differences(unknown.select("a", "b"), parts), "near-bits").select(F.col("a").alias("key"), F.col("b").alias("leader"), "lack", "more")
+    open_ = open_.join(bits, ["key", "leader"], "left").withColumns({c: F.coalesce(c, none) for c in ("lack", "more")})
     open_ = stored(open_.withColumn("other", F.greatest(F.col("shared") - F.col("common"), F.lit(0))), "near-far")
-    x = open_.filter("component <> main").select("gram", *[F.col(c).alias(f"x_{c}") for c in ("key", "n", "shared", "component", "far", "common", "other")])
-    y = open_.select("gram", "main", *[F.col(c).alias(f"y_{c}") for c in ("key", "n", "shared", "component", "far", "common", "other")])
+    names = ("key", "n", "shared", "component", "far", "common", "other", "lack", "more")
+    x = open_.filter("component <> main").select("gram", *[F.col(c).alias(f"x_{c}") for c in names])
+    y = open_.select("gram", "main", *[F.col(c).alias(f"y_{c}") for c in names])
+    # An n-gram of the leader that only y lacks is one of x that y does not have; so is one that only x has beside it.
+    inside = F.least(F.col("x_common") - _only_in("y_lack", "x_lack"), F.col("y_common") - _only_in("x_lack", "y_lack"))
+    outside = F.least(F.col("x_other") - _only_in("x_more", "y_more"), F.col("y_other") - _only_in("y_more", "x_more"))
     may = (
         (F.col("x_component") != F.col("y_component"))
         & ((F.col("y_component") == F.col("main")) | (F.col("x_key") < F.col("y_key")))
@@ -385,6 +418,7 @@ def set_components(docs: DataFrame, members: DataFrame, text_col: str, n: int, s
         & (F.abs(F.col("x_far") - F.col("y_far")) <= 1 - similarity / 100 + 1e-9)
         # What two sets share lies in both's common part with the leader, or in both's shared n-grams outside it.
         & _linked(F.least("x_common", "y_common") + F.least("x_other", "y_other"), F.col("x_n"), F.col("y_n"), similarity)
+        & _linked(inside + outside, F.col("x_n"), F.col("y_n"), similarity)
     )
     rest = x.join(y, "gram").filter(may)
     rest = rest.select(

@@ -391,6 +391,32 @@ def test_copies_that_are_not_similar_are_told_apart_by_their_leader(spark, monke
     assert counts["near-rest"] <= 40 * 39 // 2, counts
 
 
+def test_extracts_of_other_places_are_not_compared(spark, monkeypatch):
+    """Pairs of texts that have enough n-grams of the one they were taken from, but lack different parts of it."""
+    rng = random.Random(17)
+    base = [f"w{i}" for i in range(150)]
+    rows = [base]
+    for j in range(40):
+        gone = {i + k for i in rng.sample(range(5, 135, 9), 4) for k in range(8)}
+        rows.append([w for i, w in enumerate(base) if i not in gone])
+    # Two of them with nearly the same gaps are still found.
+    rows.append([*rows[5][:-1], "end"])
+    rows = [(i, " ".join(r)) for i, r in enumerate(rows)]
+    counts, stored = {}, near_dup.stored
+
+    def counting(df, name):
+        out = stored(df, name)
+        counts[name] = out.count()
+        return out
+
+    monkeypatch.setattr(near_dup, "stored", counting)
+    found = near_dup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"))
+    want = expected_near(rows)
+    assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in found.collect()), key=repr) == want
+    assert len({c for _, _, c in want}) > 20
+    assert counts["near-rest"] <= 60, counts
+
+
 def test_first_grams_are_one_row_each(spark):
     rows = [(" ".join(f"w{i * 7 + k}" for k in range(60)),) for i in range(50)] + [(None,), ("",), ("one two",)]
     found = near_dup._first_grams(spark.createDataFrame(rows, "text string"), "text", 5, 1.0)
