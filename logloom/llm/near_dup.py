@@ -44,7 +44,7 @@ from logloom.plans.joins import attach
 SHINGLE = 5
 SIMILARITY = 80
 #: Of the n-grams, eight bytes each, of the sets that are left after the first n-grams.
-FRAGMENT_BYTES = 24_000_000
+FRAGMENT_BYTES = 8_000_000
 #: Share of the global order that is looked at first.
 FIRST = 5 / 16
 #: Fragments in which the overlaps of candidate pairs are counted.
@@ -198,6 +198,14 @@ def _shared_parts(table: pa.Table) -> pa.Table:
     )
 
 
+def _shared_parts_giving_back(table: pa.Table) -> pa.Table:
+    """As :func:`_shared_parts`; a worker holds no more between fragments than before."""
+    try:
+        return _shared_parts(table)
+    finally:
+        give_back()
+
+
 def least_overlap(n: Column, similarity: int) -> Column:
     """The fewest n-grams that a set of ``n`` shares with any similar set: ``ceil(similarity * n / 100)``."""
     return F.floor((n * similarity + 99) / 100).cast("bigint")
@@ -353,7 +361,7 @@ def set_components(docs: DataFrame, members: DataFrame, text_col: str, n: int, s
     few, n_grams = _candidates(docs, members, text_col, n, similarity)
     n_fragments = max(1, -(-8 * n_grams // fragment_bytes))
     schema = "key long, n long, grams array<long>, frequency array<int>"
-    shared = _fragments(few, text_col, n, n_fragments).groupBy("fragment").applyInArrow(_shared_parts, schema)
+    shared = _fragments(few, text_col, n, n_fragments).groupBy("fragment").applyInArrow(_shared_parts_giving_back, schema)
     sets = shared.groupBy("key").agg(
         F.first("n").alias("n"),
         F.sum(F.size("grams")).alias("shared"),

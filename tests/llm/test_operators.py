@@ -10,6 +10,7 @@ from collections import Counter, defaultdict
 import duckdb
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from pyspark.sql import functions as F
@@ -417,6 +418,25 @@ def test_extracts_of_other_places_are_not_compared(spark, monkeypatch):
     assert counts["near-rest"] <= 60, counts
 
 
+def test_a_fragment_takes_little_memory_and_gives_it_back():
+    def held(name):
+        return next(int(line.split()[1]) >> 10 for line in open("/proc/self/status") if line.startswith(name))
+
+    rng, n_sets = np.random.default_rng(1), near_dup.FRAGMENT_BYTES // 8 // 60
+    grams = np.sort(rng.integers(0, n_sets * 30, (n_sets, 60)).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15), axis=1)
+    parts = pa.array([g.tobytes() for g in grams], pa.binary())
+    table = pa.table({"fragment": pa.array(np.zeros(n_sets, np.int64)), "key": pa.array(np.arange(n_sets)), "n": pa.array(np.full(n_sets, 300)), "part": parts})
+    near_dup.give_back()
+    before = held("VmRSS")
+    with open("/proc/self/clear_refs", "w") as f:
+        f.write("5")  # the highest size so far is the current one
+    out = near_dup._shared_parts_giving_back(table)
+    assert held("VmHWM") - before < 100
+    del out
+    near_dup.give_back()
+    assert held("VmRSS") - before < 30
+
+
 def test_first_grams_are_one_row_each(spark):
     rows = [(" ".join(f"w{i * 7 + k}" for k in range(60)),) for i in range(50)] + [(None,), ("",), ("one two",)]
     found = near_dup._first_grams(spark.createDataFrame(rows, "text string"), "text", 5, 1.0)
