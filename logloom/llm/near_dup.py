@@ -2,7 +2,7 @@
 
 A document's set holds the hashes of its distinct word shingles. The global order of n-grams is
 their hash order; it is cut into fragments (``n_fragments`` grows with the text), and every
-document sends each fragment its part of the set. A fragment holds all occurrences of its
+document sends each of its n-grams to its fragment, one row each. A fragment holds all occurrences of its
 n-grams, so it knows their exact document frequency. N-grams that occur once overlap with nothing:
 sets with more than ``1 - similarity`` of their n-grams unique cannot be similar to any other. The
 first n-grams, ``FIRST`` of the order, counted one by one, already show this for most sets, which are then gone; only
@@ -128,39 +128,37 @@ def _first_grams(docs: DataFrame, text_col: str, n: int, share: float) -> DataFr
 
 
 def _fragments(docs: DataFrame, text_col: str, n: int, n_fragments: int) -> DataFrame:
-    """``fragment, key, n, part``: the n-grams of a set in each fragment of the order, eight bytes each."""
+    """``fragment, key, n, gram``: the n-grams of the set of each row, by fragment of the order; as many rows at any ``n_fragments``."""
+    bounds = np.array([((1 << 64) - 1) * i // n_fragments for i in range(1, n_fragments)], np.uint64)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler(n)
-        top = (1 << 64) - 1
-        bounds = np.array([top * i // n_fragments for i in range(1, n_fragments)], np.uint64)
         for batch in batches:
-            cells: list[list] = [[], [], [], []]
-            size = 0
-            for text in batch.column(0):
-                hashes = shingler.hashes(text.as_py())
-                if not len(hashes):
-                    continue
-                key = _set_key(hashes)
-                cuts = np.concatenate(([0], np.searchsorted(hashes, bounds), [len(hashes)]))
-                full = np.flatnonzero(np.diff(cuts))
-                data = hashes.tobytes()
-                cells[0] += full.tolist()
-                cells[1] += [key] * len(full)
-                cells[2] += [len(hashes)] * len(full)
-                cells[3] += [data[8 * cuts[i] : 8 * cuts[i + 1]] for i in full]
-                size += len(data)
-                if size > 8 << 20:
-                    yield _batch(cells)
-                    cells, size = [[], [], [], []], 0
-            yield _batch(cells)
-
-    def _batch(cells: list[list]) -> pa.RecordBatch:
-        kinds = pa.int64(), pa.int64(), pa.int64(), pa.binary()
-        arrays = [pa.array(c, k) for c, k in zip(cells, kinds, strict=True)]
-        return pa.RecordBatch.from_arrays(arrays, ["fragment", "key", "n", "part"])
-
-    return docs.select(text_col).mapInArrow(giving_back(work), "fragment long, key long, n long, part binary")
+            for at in range(0, batch.num_rows, 256):
+                found = [h for h in (shingler.hashes(text.as_py()) for text in batch.column(0).slice(at, 256)) if len(h)]
+                if found:
+                    lengths = [len(h) for h in found]
+                    keys, sizes = np.repeat(np.array([_set_key(h) for h in found], np.int64), lengths), np.repeat(lengths, lengths)
+                    grams = np.concatenate(found)
+                    cells = np.searchsorted(bounds, grams, "right"), keys, sizes, grams.view(np.int64)
+                    yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cells], ["fragment", "key", "n", "gram"])
+
+    return docs.select(text_col).mapInArrow(giving_back(work), "fragment long, key long, n long, gram long")
+
+
+def _gathered(table: pa.Table) -> pa.Table:
+    """``key, n, part`` of the rows of one fragment: the distinct n-grams of each set, eight bytes each."""
+    keys, sizes, grams = (table[c].to_numpy() for c in ("key", "n", "gram"))
+    grams = grams.view(np.uint64)
+    order = np.lexsort((grams, keys))
+    keys, sizes, grams = keys[order], sizes[order], grams[order]
+    # Rows of equal sets are equal.
+    new = np.append(True, (keys[1:] != keys[:-1]) | (grams[1:] != grams[:-1]))[: len(keys)]
+    keys, sizes, grams = keys[new], sizes[new], grams[new]
+    first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])[: len(keys)])
+    offsets = (8 * np.append(first, len(keys))).astype(np.int32)
+    parts = pa.BinaryArray.from_buffers(pa.binary(), len(first), [None, pa.py_buffer(offsets), pa.py_buffer(grams.tobytes())])
+    return pa.table({"key": pa.array(keys[first]), "n": pa.array(sizes[first]), "part": parts})
 
 
 def _fragment_grams(table: pa.Table) -> tuple[np.ndarray, ...]:
@@ -199,9 +197,9 @@ def _shared_parts(table: pa.Table) -> pa.Table:
 
 
 def _shared_parts_giving_back(table: pa.Table) -> pa.Table:
-    """As :func:`_shared_parts`; a worker holds no more between fragments than before."""
+    """As :func:`_shared_parts`, also of rows of one n-gram each; a worker holds no more between fragments than before."""
     try:
-        return _shared_parts(table)
+        return _shared_parts(_gathered(table) if "gram" in table.column_names else table)
     finally:
         give_back()
 

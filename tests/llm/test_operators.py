@@ -443,6 +443,19 @@ def test_first_grams_are_one_row_each(spark):
     assert found.count() == 50 * 56 + 1 and found.distinct().count() == found.count()
 
 
+def test_fragments_are_one_row_per_gram(spark):
+    rows = [(" ".join(f"w{i * 7 + k}" for k in range(60)),) for i in range(50)] + [(None,), ("",), ("one two",)]
+    texts = spark.createDataFrame(rows, "text string")
+    few, many = (near_dup._fragments(texts, "text", 5, f) for f in (2, 40))
+    # Rows grow with the text, not with the text times the fragments.
+    assert few.count() == many.count() == 50 * 56 + 1
+    assert few.select("key", "n", "gram").exceptAll(many.select("key", "n", "gram")).count() == 0
+    schema = "key long, n long, grams array<long>, frequency array<int>"
+    shared = [d.groupBy("fragment").applyInArrow(near_dup._shared_parts_giving_back, schema).selectExpr("key", "n", "inline(arrays_zip(grams, frequency))") for d in (few, many)]
+    assert shared[0].exceptAll(shared[1]).count() == shared[1].exceptAll(shared[0]).count() == 0
+    assert shared[0].count() == 0 or shared[0].agg(F.min("frequency")).first()[0] > 1
+
+
 def test_components(spark):
     rng = random.Random(12)
     edges = [(i, i + 1) for i in range(60)] + [(rng.randrange(100, 200), rng.randrange(100, 200)) for _ in range(60)] + [(300, 300)]
