@@ -33,21 +33,29 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from logloom.llm.common import stored, text_of
+from logloom.llm.common import giving_back, stored, text_of
 from logloom.plans.joins import attach_materialized
 
 #: A run has at least so many words, and at least so many periods.
 MIN_WORDS = 6
 MIN_PERIODS = 4
 #: Words that are cut at once; a longer document is cut alone.
-_WORDS = 1 << 20
+_WORDS = 1 << 18
 _TILE_BYTES = 4 << 20
+#: Rows of a batch that are worked on at once.
+_ROWS = 1024
 _MULT = np.uint64(0x9E3779B97F4A7C15)
 _KEYS = "doc_id long, text_key long"
 _TILES = f"{_KEYS}, octave int, start long, boundary int, first boolean, last boolean, words binary"
 _FRAGMENTS = f"{_KEYS}, period long, lo long, hi long"
 
 
+def _sliced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for at in range(0, batch.num_rows, _ROWS):
+            yield batch.slice(at, _ROWS)
+
+
 def _mixed(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
     return x ^ (x >> np.uint64(29))
@@ -170,14 +178,14 @@ def tiles(docs: DataFrame) -> DataFrame:
         columns = list(zip(*rows, strict=True)) or [()] * 8
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names)
 
-    return docs.select("doc_id", "text_key", "text").mapInArrow(work, _TILES)
+    return docs.select("doc_id", "text_key", "text").mapInArrow(giving_back(work), _TILES)
 
 
 def fragments(cut: DataFrame) -> DataFrame:
     """``doc_id, text_key, period, lo, hi``: what each tile says of the equalities around its boundary."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _sliced(batches):
             ids, keys, periods, los, his = [], [], [], [], []
             for i, key, octave, start, boundary, first, last, words in zip(*[c.to_pylist() for c in batch.columns], strict=True):
                 for q, lo, hi in solve_tile(np.frombuffer(words, np.int32), boundary, octave, first, last):
@@ -189,7 +197,7 @@ def fragments(cut: DataFrame) -> DataFrame:
             arrays = [pa.array(c, pa.int64()) for c in (ids, keys, periods, los, his)]
             yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "text_key", "period", "lo", "hi"])
 
-    return cut.mapInArrow(work, _FRAGMENTS)
+    return cut.mapInArrow(giving_back(work), _FRAGMENTS)
 
 
 def stitched(parts: DataFrame) -> DataFrame:
@@ -250,13 +258,13 @@ def collapsed(rows: DataFrame) -> DataFrame:
         return b" ".join(words)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _sliced(batches):
             texts = [kept(t.as_py(), r.as_py()) for t, r in zip(batch.column(text_at), batch.column(runs_at), strict=True)]
             columns = list(batch.columns)
             columns[text_at] = pa.array(texts, pa.binary()).cast(pa.string())
             yield pa.RecordBatch.from_arrays(columns, names)
 
-    return rows.mapInArrow(work, ", ".join(fields))
+    return rows.mapInArrow(giving_back(work), ", ".join(fields))
 
 
 def collapse_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

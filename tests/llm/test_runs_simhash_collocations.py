@@ -7,6 +7,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -139,6 +140,16 @@ def test_long_documents_and_odd_tables(spark, edge_docs, no_docs):
     assert runs == {(0, 150_000, 30_011), (150_000, 50_000, 1)}
 
 
+def test_batches_are_worked_on_in_slices(spark):
+    batch = pa.RecordBatch.from_arrays([pa.array(range(2500))], ["id"])
+    parts = list(periodic_runs._sliced(iter([batch, batch.slice(0, 0), batch.slice(0, 3)])))
+    assert [p.num_rows for p in parts] == [1024, 1024, 452, 3]
+    assert [i for p in parts for i in p.column(0).to_pylist()] == [*range(2500), 0, 1, 2]
+    docs = spark.range(2500).select(F.col("id").alias("doc_id"), F.concat(F.lit("x " * 8), F.col("id").cast("string")).alias("text")).coalesce(1)
+    found = {r.doc_id: (r.text, [tuple(x) for x in r.runs]) for r in periodic_runs.collapse_runs(docs).collect()}
+    assert found == {i: (f"x {i}", [(0, 1, 8)]) for i in range(2500)}
+
+
 def test_z_function():
     rng = random.Random(1)
     for _ in range(200):
