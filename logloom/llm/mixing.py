@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 
 from logloom.llm.common import prefix_sum, stored, text_of, word_count, words_of
 from logloom.plans.dense import with_dense_id
+from logloom.session import settle
 
 BLOCK_WORDS = 256
 SHARD_SLOTS = 65536
@@ -251,6 +252,7 @@ def mixed_documents(docs: DataFrame, weights: list[int], id_col: str = "doc_id",
     A document that a pass takes whole keeps its text; of one that it takes in part, the words
     taken stay, in order, with single spaces. Documents that are not taken are left out.
     """
+    settle(docs.sparkSession)
     held = stored(docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), F.monotonically_increasing_id().alias("place")), "mix-input")
     sizes = stored(
         held.select(
@@ -262,6 +264,7 @@ def mixed_documents(docs: DataFrame, weights: list[int], id_col: str = "doc_id",
         "sizes",
     )
     mix = mix_sources(sizes, weights)
+    settle(docs.sparkSession)
     end = F.least(F.col("to"), F.col("words"))
     spans = (
         mix.pieces.join(mix.slots, ["rank", "block"])

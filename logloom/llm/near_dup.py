@@ -40,6 +40,7 @@ from pyspark.sql import functions as F
 
 from logloom.llm.common import LOWER, UPPER, give_back, giving_back, stored
 from logloom.plans.joins import attach
+from logloom.session import settle
 
 SHINGLE = 5
 SIMILARITY = 80
@@ -316,6 +317,7 @@ def components(links: DataFrame, rounds: int = 50) -> DataFrame:
         before = now
     else:
         raise RuntimeError("components did not settle")
+    settle(links.sparkSession)
     own = edges.groupBy("b").agg(F.min("b").alias("component")).withColumnRenamed("b", "key")
     return edges.select(F.col("a").alias("key"), F.col("b").alias("component")).unionByName(own)
 
@@ -406,6 +408,7 @@ def set_components(docs: DataFrame, members: DataFrame, text_col: str, n: int, s
     far = (1 - F.col("common") / (F.col("n_a") + F.col("n_b") - F.col("common"))).alias("far")
     open_ = open_.join(known.select(F.col("a").alias("key"), F.col("b").alias("leader"), "common", far), ["key", "leader"], "left")
     open_ = open_.withColumns({"far": F.coalesce("far", F.lit(0.0)), "common": F.coalesce("common", "n")})
+    settle(docs.sparkSession)
     none = F.array_repeat(F.lit(0).cast("bigint"), PARTS)
     bits = stored(_differences(unknown.select("a", "b"), parts), "near-bits").select(F.col("a").alias("key"), F.col("b").alias("leader"), "lack", "more")
     open_ = open_.join(bits, ["key", "leader"], "left").withColumns({c: F.coalesce(c, none) for c in ("lack", "more")})

@@ -13,7 +13,7 @@ from logloom.operators.timestamps import delta_encode, delta_restore
 from logloom.plans.dense import with_dense_id
 from logloom.plans.joins import attach
 from logloom.plans.ordered import first_per_stream, previous_value, running_sum
-from logloom.session import scratch_path
+from logloom.session import scratch_path, settle
 
 
 @pytest.fixture(scope="module")
@@ -131,3 +131,11 @@ def test_joins_are_never_nested_loops(skewed):
 def test_narrow_columns_only(stored):
     plan = plan_of(encode_log(stored).groupBy("logtype").agg(F.count(F.lit(1)).alias("n")))
     assert "ReadSchema: struct<message:string>" in plan
+
+
+def test_driver_collects_what_jobs_left(spark):
+    collectors = spark._jvm.java.lang.management.ManagementFactory.getGarbageCollectorMXBeans()
+    rounds = lambda: sum(c.getCollectionCount() for c in collectors if "Old" in c.getName() or "MarkSweep" in c.getName())
+    before = rounds()
+    settle(spark)
+    assert rounds() > before
